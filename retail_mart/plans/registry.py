@@ -69,3 +69,206 @@ def q_inventory_by_week(spark, sf_dir):
 @register("weekly_sales_inventory")
 def q_weekly_sales_inventory(spark, sf_dir):
     return for_report(weekly_table(raw(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ reports
+from retail_mart.operators import reports as rp  # noqa: E402
+
+
+@register("top_items_by_amount")
+def q_top_items_by_amount(spark, sf_dir):
+    return for_report(rp.ranked_items(weekly_table(raw(spark, sf_dir)), "sales_amt", top=True))
+
+
+@register("top_items_by_quantity")
+def q_top_items_by_quantity(spark, sf_dir):
+    return for_report(rp.ranked_items(weekly_table(raw(spark, sf_dir)), "sales_qty", top=True))
+
+
+@register("bottom_items_by_amount")
+def q_bottom_items_by_amount(spark, sf_dir):
+    return for_report(rp.ranked_items(weekly_table(raw(spark, sf_dir)), "sales_amt", top=False))
+
+
+@register("bottom_items_by_quantity")
+def q_bottom_items_by_quantity(spark, sf_dir):
+    return for_report(rp.ranked_items(weekly_table(raw(spark, sf_dir)), "sales_qty", top=False))
+
+
+@register("low_inventory_items")
+def q_low_inventory_items(spark, sf_dir):
+    return for_report(rp.low_inventory_items(weekly_table(raw(spark, sf_dir))))
+
+
+@register("low_stock_by_warehouse")
+def q_low_stock_by_warehouse(spark, sf_dir):
+    return for_report(rp.low_stock_by_warehouse(weekly_table(raw(spark, sf_dir))))
+
+
+# -------------------------------------------------------------- incremental
+from pyspark.sql import functions as F  # noqa: E402
+
+from retail_mart.streaming import incremental as inc  # noqa: E402
+from retail_mart.streaming.watermark import (  # noqa: E402
+    period_watermark, target_period, target_period_frame, watermark_frame,
+)
+
+
+def sales_span(r: RawTables) -> tuple[int, int]:
+    """(min, max) sold date over both channels; one row to the driver."""
+    cs = r.catalog_sales().select(F.col("cs_sold_date_sk").alias("d"))
+    ws = r.web_sales().select(F.col("ws_sold_date_sk").alias("d"))
+    row = cs.unionByName(ws).agg(F.min("d"), F.max("d")).first()
+    return int(row[0]), int(row[1])
+
+
+def split_day(r: RawTables) -> int:
+    """A first batch holds the sales up to the middle of the sold-date span."""
+    lo, hi = sales_span(r)
+    return (lo + hi) // 2
+
+
+def raw_until(r: RawTables, cut: int):
+    return (r.catalog_sales().filter(F.col("cs_sold_date_sk") <= cut),
+            r.web_sales().filter(F.col("ws_sold_date_sk") <= cut))
+
+
+@register("daily_watermark")
+def q_daily_watermark(spark, sf_dir):
+    return watermark_frame(daily_table(raw(spark, sf_dir)), "sold_date_sk", "last_sold_date_sk")
+
+
+@register("daily_sales_incremental")
+def q_daily_sales_incremental(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    cs1, ws1 = raw_until(r, split_day(r))
+    existing = ds.daily_sales(cs1, ws1, r.date_dim())
+    return for_report(inc.daily_incremental(existing, r.catalog_sales(), r.web_sales(), r.date_dim()).table)
+
+
+@register("weekly_sales_inventory_incremental")
+def q_weekly_sales_inventory_incremental(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    cs1, ws1 = raw_until(r, split_day(r))
+    existing = wi.weekly_sales_inventory(ds.daily_sales(cs1, ws1, r.date_dim()), r.inventory(), r.date_dim())
+    return for_report(inc.weekly_incremental(existing, daily_table(r), r.inventory(), r.date_dim()).table)
+
+
+# ------------------------------------------------------------------ monthly
+from retail_mart.operators import customer_program as cp  # noqa: E402
+from retail_mart.operators import customer_scd2 as scd  # noqa: E402
+from retail_mart.sources.fixtures import CUSTOMER_BATCH_DATES  # noqa: E402
+
+
+def snapshot_after(r: RawTables, batches: int = 3, mode: str = "reference"):
+    snap = scd.empty_snapshot(r.spark)
+    for b in range(1, batches + 1):
+        snap = scd.scd2_apply(snap, r.customer(b), CUSTOMER_BATCH_DATES[b - 1], mode)
+    return snap
+
+
+def program(r: RawTables, cut: int | None = None, mode: str = "reference"):
+    """The monthly run as of the data up to ``cut`` (all data when None)."""
+    cs, ws = r.catalog_sales(), r.web_sales()
+    ccs, cws = r.catalog_sales(with_customer=True), r.web_sales(with_customer=True)
+    if cut is not None:
+        cs, ws = cs.filter(F.col("cs_sold_date_sk") <= cut), ws.filter(F.col("ws_sold_date_sk") <= cut)
+        ccs, cws = ccs.filter(F.col("cs_sold_date_sk") <= cut), cws.filter(F.col("ws_sold_date_sk") <= cut)
+    daily = ds.daily_sales(cs, ws, r.date_dim())
+    yr, mth = target_period(r.date_dim(), period_watermark(daily, "sold_date_sk"))
+    return cp.monthly_customer_program(ccs, cws, r.date_dim(), snapshot_after(r), yr, mth, mode)
+
+
+@register("monthly_target_period")
+def q_monthly_target_period(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    return target_period_frame(r.date_dim(), period_watermark(daily_table(r), "sold_date_sk"))
+
+
+@register("customer_sales")
+def q_customer_sales(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    return for_report(cp.customer_sales(r.catalog_sales(with_customer=True), r.web_sales(with_customer=True)))
+
+
+@register("monthly_customer_metrics")
+def q_monthly_customer_metrics(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    return for_report(cp.monthly_customer_metrics(
+        r.catalog_sales(with_customer=True), r.web_sales(with_customer=True), r.date_dim()))
+
+
+@register("membership_tiers")
+def q_membership_tiers(spark, sf_dir):
+    """Tier of every customer in every year they bought (running yearly spend)."""
+    from retail_mart.functions.program import membership_tier
+    r = raw(spark, sf_dir)
+    m = cp.monthly_customer_metrics(r.catalog_sales(with_customer=True), r.web_sales(with_customer=True),
+                                    r.date_dim())
+    return (m.select("customer_sk", "c_year", membership_tier(F.col("sum_amt_yr")).alias("membership_status"))
+            .distinct())
+
+
+@register("monthly_customer_program")
+def q_monthly_customer_program(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    return for_report(program(r))
+
+
+@register("monthly_customer_program_documented")
+def q_monthly_customer_program_documented(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    return for_report(program(r, mode="documented"))
+
+
+MONTHLY_LAG_DAYS = 60
+
+
+@register("monthly_customer_program_incremental")
+def q_monthly_customer_program_incremental(spark, sf_dir):
+    """Programme as loaded by a run 60 days before the last sale, then the
+    latest run applied on top (delete target month, insert)."""
+    r = raw(spark, sf_dir)
+    existing = program(r, cut=sales_span(r)[1] - MONTHLY_LAG_DAYS)
+    cs, ws = r.catalog_sales(with_customer=True), r.web_sales(with_customer=True)
+    res = inc.monthly_incremental(existing, daily_table(r), cs, ws, r.date_dim(), snapshot_after(r))
+    return for_report(res.table)
+
+
+# ------------------------------------------------------------------- SCD-2
+@register("scd2_new_versions")
+def q_scd2_new_versions(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    return for_report(scd.scd2_new_versions(snapshot_after(r, 2), r.customer(3), CUSTOMER_BATCH_DATES[2]))
+
+
+@register("scd2_closed")
+def q_scd2_closed(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    snap = snapshot_after(r, 3)
+    return for_report(snap.filter(F.col("end_date") == F.lit(CUSTOMER_BATCH_DATES[2]).cast("timestamp_ntz")))
+
+
+@register("scd2_snapshot")
+def q_scd2_snapshot(spark, sf_dir):
+    return for_report(snapshot_after(raw(spark, sf_dir), 3, "reference"))
+
+
+@register("scd2_snapshot_strict")
+def q_scd2_snapshot_strict(spark, sf_dir):
+    return for_report(snapshot_after(raw(spark, sf_dir), 3, "strict"))
+
+
+def customer_dim_table(r: RawTables):
+    return scd.customer_dim(snapshot_after(r, 3), r.customer_address(), r.customer_demographics(),
+                            r.household_demographics(), r.income_band())
+
+
+@register("customer_dim")
+def q_customer_dim(spark, sf_dir):
+    return for_report(customer_dim_table(raw(spark, sf_dir)))
+
+
+@register("customer_demographics")
+def q_customer_demographics(spark, sf_dir):
+    return rp.demographics_summary(customer_dim_table(raw(spark, sf_dir)))
