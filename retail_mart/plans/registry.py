@@ -272,3 +272,170 @@ def q_customer_dim(spark, sf_dir):
 @register("customer_demographics")
 def q_customer_demographics(spark, sf_dir):
     return rp.demographics_summary(customer_dim_table(raw(spark, sf_dir)))
+
+
+# --------------------------------------------------------------- profiling
+from retail_mart.operators import profiling as pf  # noqa: E402
+from retail_mart.sources import ingest  # noqa: E402
+from retail_mart.session import new_run_dir  # noqa: E402
+
+LOOKUP_DAY = "1998-01-01"
+
+
+@register("calendar_head")
+def q_calendar_head(spark, sf_dir):
+    return for_report(pf.calendar_head(raw(spark, sf_dir).date_dim()))
+
+
+@register("calendar_lookup")
+def q_calendar_lookup(spark, sf_dir):
+    return for_report(pf.calendar_lookup(raw(spark, sf_dir).date_dim(), LOOKUP_DAY))
+
+
+@register("date_range_catalog")
+def q_date_range_catalog(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    return for_report(pf.date_range(r.catalog_sales(), "cs_sold_date_sk", r.date_dim()))
+
+
+@register("date_range_web")
+def q_date_range_web(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    return for_report(pf.date_range(r.web_sales(), "ws_sold_date_sk", r.date_dim()))
+
+
+@register("date_range_inventory")
+def q_date_range_inventory(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    return for_report(pf.date_range(r.inventory(), "inv_date_sk", r.date_dim()))
+
+
+@register("arrival_rate_catalog")
+def q_arrival_rate_catalog(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    return for_report(pf.arrival_rate(r.catalog_sales(), "cs_sold_date_sk", r.date_dim()))
+
+
+@register("arrival_rate_web")
+def q_arrival_rate_web(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    return for_report(pf.arrival_rate(r.web_sales(), "ws_sold_date_sk", r.date_dim()))
+
+
+@register("sample_catalog")
+def q_sample_catalog(spark, sf_dir):
+    return for_report(pf.ordered_sample(raw(spark, sf_dir).catalog_sales(extra_keys=True)))
+
+
+@register("sample_web")
+def q_sample_web(spark, sf_dir):
+    return for_report(pf.ordered_sample(raw(spark, sf_dir).web_sales(extra_keys=True)))
+
+
+def fk_inputs(r: RawTables):
+    facts = {"catalog_sales": r.catalog_sales(extra_keys=True), "web_sales": r.web_sales(extra_keys=True)}
+    dims = {"date_dim": r.date_dim(), "customer": r.customer(1),
+            "customer_demographics": r.customer_demographics(),
+            "household_demographics": r.household_demographics(),
+            "customer_address": r.customer_address(), "warehouse": r.warehouse(), "item": r.item()}
+    for name in ("time_dim", "call_center", "catalog_page", "ship_mode", "promotion", "web_page", "web_site"):
+        dims[name] = r.key_dim(name)
+    return facts, dims
+
+
+@register("fk_coverage")
+def q_fk_coverage(spark, sf_dir):
+    return pf.fk_coverage(*fk_inputs(raw(spark, sf_dir)))
+
+
+@register("fk_sample")
+def q_fk_sample(spark, sf_dir):
+    return pf.fk_sample(*fk_inputs(raw(spark, sf_dir)))
+
+
+@register("inventory_recurrence")
+def q_inventory_recurrence(spark, sf_dir):
+    return pf.inventory_recurrence(raw(spark, sf_dir).inventory())
+
+
+@register("item_inventory_dates")
+def q_item_inventory_dates(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    return for_report(pf.item_dates(r.inventory(), "inv_item_sk", "inv_date_sk", r.date_dim()))
+
+
+@register("item_web_dates")
+def q_item_web_dates(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    return for_report(pf.item_dates(r.web_sales(), "ws_item_sk", "ws_sold_date_sk", r.date_dim(), r.item()))
+
+
+@register("item_catalog_dates")
+def q_item_catalog_dates(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    return for_report(pf.item_dates(r.catalog_sales(), "cs_item_sk", "cs_sold_date_sk", r.date_dim(), r.item()))
+
+
+@register("distinct_items")
+def q_distinct_items(spark, sf_dir):
+    return pf.distinct_items(raw(spark, sf_dir).item())
+
+
+@register("count_items")
+def q_count_items(spark, sf_dir):
+    return pf.count_distinct(raw(spark, sf_dir).item(), "i_item_sk", "items")
+
+
+@register("distinct_customers")
+def q_distinct_customers(spark, sf_dir):
+    return pf.distinct_customers(raw(spark, sf_dir).customer(1))
+
+
+@register("count_customers")
+def q_count_customers(spark, sf_dir):
+    return pf.count_distinct(raw(spark, sf_dir).customer(1), "c_customer_sk", "customers")
+
+
+@register("null_profile")
+def q_null_profile(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    out = pf.null_profile(r.catalog_sales(extra_keys=True), "catalog_sales")
+    for df, name in [(r.web_sales(extra_keys=True), "web_sales"), (r.customer(1), "customer"),
+                     (r.inventory(), "inventory")]:
+        out = out.unionByName(pf.null_profile(df, name))
+    return out
+
+
+# --------------------------------------------------------------- ingestion
+def _inventory_file(spark, sf_dir) -> str:
+    return ingest.write_inventory_csv(raw(spark, sf_dir).inventory(), new_run_dir(spark, "inventory-csv"))
+
+
+@register("ingest_inventory")
+def q_ingest_inventory(spark, sf_dir):
+    return ingest.load_inventory(spark, _inventory_file(spark, sf_dir))[0]
+
+
+@register("ingest_inventory_rejects")
+def q_ingest_inventory_rejects(spark, sf_dir):
+    return ingest.load_inventory(spark, _inventory_file(spark, sf_dir))[1]
+
+
+def _copied(spark, df, name):
+    path = ingest.copy_table(df, new_run_dir(spark, name))
+    return spark.read.parquet(path)
+
+
+@register("item_dim")
+def q_item_dim(spark, sf_dir):
+    return _copied(spark, raw(spark, sf_dir).item(), "item_dim")
+
+
+@register("warehouse_dim")
+def q_warehouse_dim(spark, sf_dir):
+    return _copied(spark, raw(spark, sf_dir).warehouse(), "warehouse_dim")
+
+
+@register("date_dim")
+def q_date_dim(spark, sf_dir):
+    return for_report(_copied(spark, raw(spark, sf_dir).date_dim(), "date_dim"))
