@@ -26,6 +26,7 @@ class Increment:
     fresh: DataFrame      # recomputed slice (to append / overwrite)
     watermark: int        # period that was deleted and recomputed
     kept: DataFrame       # existing rows that stay
+    deleted: dict         # partition (column -> value) deleted before the insert
 
 
 def _delete(existing: DataFrame, cond) -> DataFrame:
@@ -39,7 +40,7 @@ def daily_incremental(existing: DataFrame, catalog_sales: DataFrame, web_sales:
     wm = period_watermark(existing, "sold_date_sk")
     kept = _delete(existing, F.col("sold_date_sk") == F.lit(wm))
     fresh = ds.daily_sales(catalog_sales, web_sales, date_dim, since_sk=wm)
-    return Increment(kept.unionByName(fresh), fresh, wm, kept)
+    return Increment(kept.unionByName(fresh), fresh, wm, kept, {"sold_date_sk": wm})
 
 
 def weekly_incremental(existing: DataFrame, daily: DataFrame, inventory: DataFrame,
@@ -49,7 +50,7 @@ def weekly_incremental(existing: DataFrame, daily: DataFrame, inventory: DataFra
     wm = period_watermark(existing, "sold_wk_sk")
     kept = _delete(existing, F.col("sold_wk_sk") == F.lit(wm))
     fresh = wi.weekly_sales_inventory(daily, inventory, date_dim, since_wk_sk=wm)
-    return Increment(kept.unionByName(fresh), fresh, wm, kept)
+    return Increment(kept.unionByName(fresh), fresh, wm, kept, {"sold_wk_sk": wm})
 
 
 def monthly_incremental(existing: DataFrame, daily: DataFrame, catalog_sales: DataFrame,
@@ -61,4 +62,4 @@ def monthly_incremental(existing: DataFrame, daily: DataFrame, catalog_sales: Da
     yr, mth = target_period(date_dim, wm)
     kept = _delete(existing, (F.col("c_year") == F.lit(yr)) & (F.col("c_month") == F.lit(mth)))
     fresh = cp.monthly_customer_program(catalog_sales, web_sales, date_dim, snapshot, yr, mth, mode)
-    return Increment(kept.unionByName(fresh), fresh, wm, kept)
+    return Increment(kept.unionByName(fresh), fresh, wm, kept, {"c_year": yr, "c_month": mth})
