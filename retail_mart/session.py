@@ -30,7 +30,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     if event_log_dir:
         builder = (builder.config("spark.eventLog.enabled", "true")
-                   .config("spark.eventLog.dir", event_log_dir))
+                   .config("spark.eventLog.dir", event_log_dir)
+                   .config("spark.eventLog.compress", "false"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
