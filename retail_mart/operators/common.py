@@ -28,3 +28,16 @@ def for_report(df: DataFrame) -> DataFrame:
         else:
             out.append(F.col(f.name))
     return df.select(*out)
+
+
+def left_join_split_nulls(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """``left LEFT JOIN right ON left_key = right_key`` with NULL keys kept out
+    of the shuffle: a NULL key never matches, so those rows take the right
+    side's columns as NULL directly instead of all hashing to one reducer
+    (a third of the rows may share the NULL key)."""
+    nulls = left.filter(F.col(left_key).isNull())
+    for f in right.schema.fields:
+        nulls = nulls.withColumn(f.name, F.lit(None).cast(f.dataType))
+    keyed = left.filter(F.col(left_key).isNotNull()).join(
+        right, F.col(left_key) == right[right_key], "left")
+    return keyed.unionByName(nulls)

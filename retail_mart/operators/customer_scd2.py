@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from retail_mart.operators.common import left_join_split_nulls
 from retail_mart.functions.compare import (
     CUSTOMER_COLUMNS, reference_changed, reference_match, strict_changed,
 )
@@ -105,11 +106,13 @@ def customer_dim(snapshot: DataFrame, address: DataFrame, demographics: DataFram
     broadcasts them only when they are small at run time).
     """
     cur = snapshot.filter(F.col("end_date").isNull())
-    j = (cur.join(address.select("ca_address_sk", *DIM_ADDRESS),
-                  cur["c_current_addr_sk"] == F.col("ca_address_sk"), "left")
-         .join(demographics.select("cd_demo_sk", *DIM_CDEMO),
-               F.col("c_current_cdemo_sk") == F.col("cd_demo_sk"), "left")
-         .join(F.broadcast(household.select("hd_demo_sk", *DIM_HDEMO)),
+    # address and demographics keys may be NULL for many customers: those
+    # rows bypass the (possibly shuffled) join
+    j = left_join_split_nulls(cur, address.select("ca_address_sk", *DIM_ADDRESS),
+                              "c_current_addr_sk", "ca_address_sk")
+    j = left_join_split_nulls(j, demographics.select("cd_demo_sk", *DIM_CDEMO),
+                              "c_current_cdemo_sk", "cd_demo_sk")
+    j = (j.join(F.broadcast(household.select("hd_demo_sk", *DIM_HDEMO)),
                F.col("c_current_hdemo_sk") == F.col("hd_demo_sk"), "left")
          .join(F.broadcast(income_band.select("ib_income_band_sk", *DIM_INCOME)),
                F.col("hd_income_band_sk") == F.col("ib_income_band_sk"), "left"))

@@ -71,8 +71,30 @@ def inventory_week_totals(inv_weeks: DataFrame) -> DataFrame:
 
 def weekly_sales_inventory(daily: DataFrame, inventory: DataFrame, date_dim: DataFrame,
                            since_wk_sk: int | None = None) -> DataFrame:
-    """The weekly fact, all weeks from the watermark on."""
-    sales = week_start(weekly_rollup(daily, since_wk_sk), date_dim)
+    """The weekly fact from the daily table, all weeks from the watermark on."""
+    return _weekly_fact(weekly_rollup(daily, since_wk_sk), inventory, date_dim)
+
+
+def weekly_sales_inventory_from_feed(catalog_sales: DataFrame, web_sales: DataFrame, inventory: DataFrame,
+                                     date_dim: DataFrame) -> DataFrame:
+    """Full load of the weekly fact straight from the raw sales.
+
+    Same numbers as daily -> weekly (sums of daily sums and the min of daily
+    dates are the sums and min over the rows), but the feed is aggregated
+    once, to the week, so the day-grain shuffle disappears.
+    """
+    from retail_mart.operators.daily_sales import unified_sales
+    feed = unified_sales(catalog_sales, web_sales)
+    cal = calendar(date_dim, F.col("d_date_sk"), F.col("wk_num").alias("sold_wk_num"),
+                   F.col("yr_num").alias("sold_yr_num"))
+    dated = feed.join(cal, feed["sold_date_sk"] == cal["d_date_sk"], "left").select(
+        *WEEK_KEYS, "sold_date_sk", F.col("quantity").alias("daily_qty"),
+        F.col("sales_amt").alias("daily_sales_amt"), F.col("net_profit").alias("daily_net_profit"))
+    return _weekly_fact(weekly_rollup(dated), inventory, date_dim)
+
+
+def _weekly_fact(rollup: DataFrame, inventory: DataFrame, date_dim: DataFrame) -> DataFrame:
+    sales = week_start(rollup, date_dim)
     inv = inventory_week_totals(inventory_by_week(inventory, date_dim))
     j = sales.join(inv, WEEK_KEYS, "left")
     k = F.coalesce(F.col("inv_rows"), F.lit(1))

@@ -91,7 +91,8 @@ def run_daily(spark: SparkSession, raw: RawInputs, paths: MartPaths) -> int:
     existing = read_daily(spark, paths)
     existing = existing.select(*shape.columns) if existing is not None else _empty_like(spark, shape)
     step = inc.daily_incremental(existing, raw.catalog_sales, raw.web_sales, raw.date_dim)
-    sinks.replace_partitions(step.fresh, paths.daily, ["sold_date_sk"], step.deleted)
+    sinks.replace_partitions(step.fresh, paths.daily, ["sold_date_sk"], step.deleted,
+                             spread_cols=["item_sk", "warehouse_sk"])
     return step.watermark
 
 
@@ -114,7 +115,8 @@ def run_weekly(spark: SparkSession, raw: RawInputs, paths: MartPaths) -> int:
     existing = read_weekly(spark, paths)
     existing = existing.select(*shape.columns) if existing is not None else _empty_like(spark, shape)
     step = inc.weekly_incremental(existing, daily, raw.inventory, raw.date_dim)
-    sinks.replace_partitions(step.fresh, paths.weekly, ["sold_wk_sk"], step.deleted)
+    sinks.replace_partitions(step.fresh, paths.weekly, ["sold_wk_sk"], step.deleted,
+                             spread_cols=["item_sk", "warehouse_sk"])
     return step.watermark
 
 
@@ -125,7 +127,8 @@ def run_monthly(spark: SparkSession, raw: RawInputs, paths: MartPaths, mode: str
     existing = read_monthly(spark, paths)
     existing = existing.select(*shape.columns) if existing is not None else _empty_like(spark, shape)
     step = inc.monthly_incremental(existing, daily, raw.catalog_sales, raw.web_sales, raw.date_dim, snap, mode)
-    sinks.replace_partitions(step.fresh, paths.monthly, ["c_year", "c_month"], step.deleted)
+    sinks.replace_partitions(step.fresh, paths.monthly, ["c_year", "c_month"], step.deleted,
+                             spread_cols=["customer_sk"])
     return step.watermark
 
 

@@ -38,23 +38,28 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 
 def shared_dir(spark: SparkSession, sub: str = "") -> str:
-    """Folder every executor can read and write.
+    """Folder every executor can read and write; also the checkpoint dir.
 
-    Uses the cluster's ``spark.checkpoint.dir`` (or a checkpoint dir already
-    set on the context). Only when neither is set -- local tests -- a fresh
-    temporary folder is created and registered as the checkpoint dir.
+    Uses the context's checkpoint dir, else the cluster's
+    ``spark.checkpoint.dir`` setting. Only when neither is set -- local
+    tests -- a fresh temporary folder is created. Whatever is chosen is
+    registered as the context's checkpoint dir, so ``checkpoint()`` writes to
+    the same shared place.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    base = sc.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="retail_mart-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir() or base
+        base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="retail_mart-")
+        sc.setCheckpointDir(base)
+        base = sc.getCheckpointDir() or base
     base = base.rstrip("/")
-    if not sub:
-        return base
-    return f"{base}/{sub}"
+    return f"{base}/{sub}" if sub else base
+
+
+def checkpointed(df):
+    """Cut lineage by writing ``df`` to the shared checkpoint folder."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def new_run_dir(spark: SparkSession, prefix: str) -> str:

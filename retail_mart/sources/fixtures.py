@@ -50,8 +50,15 @@ class RawTables:
         """Every day of the calendar years spanned by the line items' ship dates.
 
         Size is bounded by the time span (366 rows per year), not by the data
-        volume, which is what makes it safe to broadcast.
+        volume, which is what makes it safe to broadcast. It stands in for a
+        stored calendar table, so it is derived once per instance and cached
+        (a few KB; recomputed from lineage if an executor is lost).
         """
+        if "date_dim" not in self._cache:
+            self._cache["date_dim"] = self._derive_date_dim().cache()
+        return self._cache["date_dim"]
+
+    def _derive_date_dim(self) -> DataFrame:
         span = self.given("lineitem").agg(
             F.year(F.min("l_shipdate")).alias("y0"), F.year(F.max("l_shipdate")).alias("y1"))
         days = span.select(F.explode(F.sequence(

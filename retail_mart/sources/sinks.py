@@ -72,10 +72,18 @@ def write_version(df: DataFrame, root: str) -> str:
 
 
 def replace_partitions(fresh: DataFrame, path: str, partition_cols: list[str],
-                       deleted: dict | None = None) -> None:
+                       deleted: dict | None = None, spread_cols: list[str] | None = None) -> None:
     """Replace the partitions present in ``fresh``; additionally drop the
-    ``deleted`` partition (column -> value) if ``fresh`` does not rewrite it."""
+    ``deleted`` partition (column -> value) if ``fresh`` does not rewrite it.
+
+    Rows are range-partitioned on the partition columns plus ``spread_cols``
+    before writing: each task then covers a contiguous run of partitions
+    (files ~ tasks + partitions, not tasks x partitions), and one large
+    partition is still split over several tasks by the spread columns.
+    """
     spark = fresh.sparkSession
+    if spread_cols is not None:
+        fresh = fresh.repartitionByRange(*partition_cols, *spread_cols)
     (fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))
     if deleted:
