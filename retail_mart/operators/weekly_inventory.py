@@ -50,6 +50,16 @@ def week_start(rollup: DataFrame, date_dim: DataFrame) -> DataFrame:
     return j.drop("wk_num", "yr_num", "first_sold_date_sk")
 
 
+def weeks_without_start(rollup: DataFrame, date_dim: DataFrame) -> DataFrame:
+    """Q10 report: rolled-up groups the week-start join drops (their week has
+    no day 0 in the calendar), counted per (year, week)."""
+    starts = calendar(date_dim.filter(F.col("day_of_wk_num") == 0),
+                      F.col("wk_num").alias("sold_wk_num"), F.col("yr_num").alias("sold_yr_num"))
+    lost = rollup.join(starts, ["sold_wk_num", "sold_yr_num"], "left_anti")
+    return lost.groupBy("sold_yr_num", "sold_wk_num").agg(
+        F.count(F.lit(1)).alias("dropped_groups"), F.sum("qty").cast("bigint").alias("dropped_qty"))
+
+
 def inventory_by_week(inventory: DataFrame, date_dim: DataFrame) -> DataFrame:
     """Inventory rows with their calendar week and year (inner join)."""
     cal = calendar(date_dim, F.col("d_date_sk"), F.col("wk_num").alias("inv_wk_num"),

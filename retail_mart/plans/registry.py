@@ -61,6 +61,12 @@ def q_weekly_week_start(spark, sf_dir):
     return for_report(wi.week_start(wi.weekly_rollup(daily_table(r)), r.date_dim()))
 
 
+@register("weekly_dropped_weeks")
+def q_weekly_dropped_weeks(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    return wi.weeks_without_start(wi.weekly_rollup(daily_table(r)), r.date_dim())
+
+
 @register("inventory_by_week")
 def q_inventory_by_week(spark, sf_dir):
     r = raw(spark, sf_dir)
