@@ -30,14 +30,23 @@ WEEKLY_COLUMNS = ["warehouse_sk", "item_sk", "sold_wk_sk", "sold_wk_num", "sold_
 
 def weekly_rollup(daily: DataFrame, since_wk_sk: int | None = None) -> DataFrame:
     """P5: daily -> (warehouse, item, week, year); keep groups whose first
-    sale is on/after the weekly watermark."""
-    g = daily.groupBy(*WEEK_KEYS).agg(
+    sale is on/after the weekly watermark.
+
+    The watermark is the day-0 date of a week, and a calendar week never
+    straddles a day 0 (weeks start on day 0; week 1 without a day 0 is
+    dropped later anyway), so a group's rows are either all before or all
+    on/after it. Filtering the daily rows first is therefore exact, and on
+    the stored, date-partitioned daily table it prunes to the last weeks
+    instead of aggregating the whole history every run.
+    """
+    wm = F.lit(int(since_wk_sk or 0))
+    g = daily.filter(F.col("sold_date_sk") >= wm).groupBy(*WEEK_KEYS).agg(
         F.min("sold_date_sk").alias("first_sold_date_sk"),
         F.sum("daily_qty").alias("qty"),
         F.sum("daily_sales_amt").alias("amt"),
         F.sum("daily_net_profit").alias("profit"),
     )
-    return g.filter(F.col("first_sold_date_sk") >= F.lit(int(since_wk_sk or 0)))
+    return g.filter(F.col("first_sold_date_sk") >= wm)
 
 
 def week_start(rollup: DataFrame, date_dim: DataFrame) -> DataFrame:
@@ -81,7 +90,12 @@ def inventory_week_totals(inv_weeks: DataFrame) -> DataFrame:
 
 def weekly_sales_inventory(daily: DataFrame, inventory: DataFrame, date_dim: DataFrame,
                            since_wk_sk: int | None = None) -> DataFrame:
-    """The weekly fact from the daily table, all weeks from the watermark on."""
+    """The weekly fact from the daily table, all weeks from the watermark on.
+
+    Inventory dated before the watermark cannot fall in a week on/after it,
+    so it is filtered out before its aggregation (exact, prunes the scan)."""
+    if since_wk_sk:
+        inventory = inventory.filter(F.col("inv_date_sk") >= F.lit(int(since_wk_sk)))
     return _weekly_fact(weekly_rollup(daily, since_wk_sk), inventory, date_dim)
 
 
