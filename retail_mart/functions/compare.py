@@ -13,7 +13,9 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The 18 tracked customer columns, in the source table's order.
+# Fixed values that must equal the reference: the 18 tracked customer
+# columns in the source table's order, and which of them the merge compares
+# through coalesce(x, 0).
 CUSTOMER_COLUMNS = [
     "c_salutation", "c_preferred_cust_flag", "c_first_sales_date_sk", "c_customer_sk",
     "c_login", "c_current_cdemo_sk", "c_first_name", "c_current_hdemo_sk",
@@ -22,7 +24,6 @@ CUSTOMER_COLUMNS = [
     "c_email_address", "c_first_shipto_date_sk",
 ]
 
-# Compared through coalesce(x, 0) by the reference merge.
 COALESCED_COLUMNS = [
     "c_first_sales_date_sk", "c_current_cdemo_sk", "c_current_hdemo_sk",
     "c_last_review_date_sk", "c_birth_month", "c_birth_year", "c_birth_day",

@@ -27,6 +27,7 @@ from retail_mart.functions.money import amount, ratio6, whole_units
 from retail_mart.functions.program import membership_tier, promotion_flag
 from retail_mart.operators.common import calendar
 
+# Column order of the customer monthly programme table.
 PROGRAM_COLUMNS = ["customer_sk", "first_name", "last_name", "customer_id", "email_address",
                    "c_year", "c_month", "sum_qty_mth", "sum_amt_mth", "avg_qty_yr", "avg_amt_yr",
                    "membership_status", "prom_flg_mth"]

@@ -86,6 +86,8 @@ def assert_unique_keys(source: DataFrame) -> None:
         raise ValueError("customer source has duplicate c_customer_sk")
 
 
+# Fixed values that must equal the reference: the customer dimension's
+# columns taken from each joined table, in the dimension's column order.
 DIM_ADDRESS = ["ca_street_name", "ca_suite_number", "ca_state", "ca_location_type", "ca_country",
                "ca_address_id", "ca_county", "ca_street_number", "ca_zip", "ca_city", "ca_gmt_offset"]
 DIM_CDEMO = ["cd_dep_employed_count", "cd_dep_count", "cd_credit_rating", "cd_education_status",

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from retail_mart.functions.money import amount
 from retail_mart.operators.common import calendar
 
+# Column order of the daily aggregate table.
 DAILY_COLUMNS = ["warehouse_sk", "item_sk", "sold_date_sk", "sold_wk_num", "sold_yr_num",
                  "daily_qty", "daily_sales_amt", "daily_net_profit"]
 

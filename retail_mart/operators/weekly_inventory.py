@@ -23,6 +23,7 @@ from retail_mart.functions.money import ratio6
 from retail_mart.operators.common import calendar
 
 WEEK_KEYS = ["warehouse_sk", "item_sk", "sold_wk_num", "sold_yr_num"]
+# Column order of the weekly fact table.
 WEEKLY_COLUMNS = ["warehouse_sk", "item_sk", "sold_wk_sk", "sold_wk_num", "sold_yr_num",
                   "sum_qty_wk", "sum_amt_wk", "sum_profit_wk", "avg_qty_dy", "inv_qty_wk",
                   "wks_sply", "low_stock_flg_wk"]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -66,14 +65,3 @@ def new_run_dir(spark: SparkSession, prefix: str) -> str:
     """A fresh, never-reused sub-folder of the shared folder."""
     import uuid
     return shared_dir(spark, f"{prefix}-{uuid.uuid4().hex[:12]}")
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def ensure_local_parent(path: str) -> None:
-    if path.startswith("file:"):
-        path = path[5:]
-    if path.startswith("/"):
-        os.makedirs(os.path.dirname(path.rstrip("/")) or "/", exist_ok=True)
