@@ -33,27 +33,34 @@ COALESCED_COLUMNS = [
 PLAIN_COLUMNS = [c for c in CUSTOMER_COLUMNS if c not in COALESCED_COLUMNS]
 
 
-def _side(alias: str, col: str, coalesce: bool) -> Column:
-    c = F.col(f"{alias}.{col}")
-    return F.coalesce(c, F.lit(0)) if coalesce else c
+def _get(side):
+    """Column getter for one side: a table alias ("t") or a callable."""
+    if callable(side):
+        return side
+    return lambda c: F.col(f"{side}.{c}")
 
 
-def reference_match(t: str, s: str) -> Column:
-    """The 18-column insert-merge condition (all equal, NULL never equal)."""
-    parts = [_side(t, c, c in COALESCED_COLUMNS) == _side(s, c, c in COALESCED_COLUMNS)
-             for c in CUSTOMER_COLUMNS]
-    return reduce(lambda a, b: a & b, parts)
+def _v(side, c: str) -> Column:
+    col = _get(side)(c)
+    return F.coalesce(col, F.lit(0)) if c in COALESCED_COLUMNS else col
 
 
-def reference_changed(t: str, s: str) -> Column:
-    """The update-merge condition: any column differs (three-valued OR)."""
-    parts = [_side(t, c, c in COALESCED_COLUMNS) != _side(s, c, c in COALESCED_COLUMNS)
-             for c in CUSTOMER_COLUMNS if c != "c_customer_sk"]
-    return reduce(lambda a, b: a | b, parts)
+def reference_match(t, s) -> Column:
+    """The 18-column insert-merge condition (all equal, NULL never equal);
+    NULL results count as "no match"."""
+    parts = [_v(t, c) == _v(s, c) for c in CUSTOMER_COLUMNS]
+    return F.coalesce(reduce(lambda a, b: a & b, parts), F.lit(False))
+
+
+def reference_changed(t, s) -> Column:
+    """The update-merge condition: any column differs (three-valued OR,
+    NULL counts as "unchanged")."""
+    parts = [_v(t, c) != _v(s, c) for c in CUSTOMER_COLUMNS if c != "c_customer_sk"]
+    return F.coalesce(reduce(lambda a, b: a | b, parts), F.lit(False))
 
 
-def strict_changed(t: str, s: str) -> Column:
+def strict_changed(t, s) -> Column:
     """Any tracked column differs, NULL-safe (NULL equals NULL)."""
-    parts = [~F.col(f"{t}.{c}").eqNullSafe(F.col(f"{s}.{c}"))
-             for c in CUSTOMER_COLUMNS if c != "c_customer_sk"]
+    gt, gs = _get(t), _get(s)
+    parts = [~gt(c).eqNullSafe(gs(c)) for c in CUSTOMER_COLUMNS if c != "c_customer_sk"]
     return reduce(lambda a, b: a | b, parts)

@@ -12,11 +12,15 @@ update also re-stamps closed versions (Q8); numerics compare through
 coalesce(x, 0) (Q9); customers missing from the source stay open (Q19).
 mode="strict" compares NULL-safely against the open version only, giving one
 open version per live customer.
+
+Both merges run as one pass (``_merge_pass``): union of versions and source,
+one window by customer key -- a single shuffle instead of an anti join plus
+an outer join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,41 +46,82 @@ def _as_of(as_of: str):
     return F.lit(as_of).cast("timestamp_ntz")
 
 
-def scd2_new_versions(snapshot: DataFrame, source: DataFrame, as_of: str,
-                      mode: str = "reference") -> DataFrame:
-    """Source rows that get a new version, stamped start=as_of, end=NULL."""
-    s = source.alias("s")
+def _merge_pass(snapshot: DataFrame, source: DataFrame, mode: str) -> DataFrame:
+    """Versions and source rows side by side, one shuffle by customer key.
+
+    Snapshot versions and source rows are unioned and windowed by
+    c_customer_sk; each version sees its customer's source row (a struct
+    taken from the window), so both merge conditions are evaluated per row:
+    ``__hit`` (version to close) and, per customer, ``__any_match`` (some
+    version equals the source, i.e. no insert). The work per customer is its
+    number of versions -- no pairs -- and NULL keys, which never match in a
+    MERGE, bypass the window (they could otherwise pile onto one task).
+    """
+    if mode not in ("reference", "strict"):
+        raise ValueError(mode)
+    ts = "timestamp_ntz"
+    versions = snapshot.select(*CUSTOMER_COLUMNS, "start_date", "end_date", F.lit(False).alias("__src"))
+    incoming = source.select(*CUSTOMER_COLUMNS, F.lit(None).cast(ts).alias("start_date"),
+                             F.lit(None).cast(ts).alias("end_date"), F.lit(True).alias("__src"))
+    both = versions.unionByName(incoming)
+    keyed = both.filter(F.col("c_customer_sk").isNotNull())
+    w = Window.partitionBy("c_customer_sk")
+    src_row = F.first(F.when(F.col("__src"), F.struct(*[F.col(c) for c in CUSTOMER_COLUMNS])),
+                      ignorenulls=True).over(w)
+    keyed = keyed.withColumn("__s", src_row)
+    t = F.col
+    s = lambda c: F.col("__s").getField(c)
+    present = F.col("__s").isNotNull()
+    is_open = F.col("end_date").isNull()
     if mode == "reference":
-        new = s.join(snapshot.alias("t"), reference_match("t", "s"), "left_anti")
-    elif mode == "strict":
-        # joined on the key only; the column comparison is the residual
-        open_rows = snapshot.filter(F.col("end_date").isNull()).alias("t")
-        cond = (F.col("s.c_customer_sk") == F.col("t.c_customer_sk")) & ~strict_changed("t", "s")
-        new = s.join(open_rows, cond, "left_anti")
+        match = reference_match(t, s)
+        hit = present & reference_changed(t, s)
     else:
-        raise ValueError(mode)
-    return new.select(*CUSTOMER_COLUMNS, _as_of(as_of).alias("start_date"),
-                      F.lit(None).cast("timestamp_ntz").alias("end_date"))
+        match = is_open & ~strict_changed(t, s)
+        hit = present & is_open & strict_changed(t, s)
+    keyed = (keyed.withColumn("__match", ~F.col("__src") & present & match)
+             .withColumn("__hit", ~F.col("__src") & hit)
+             .withColumn("__any_match", F.max("__match").over(w)))
+    loose = (both.filter(F.col("c_customer_sk").isNull())
+             .withColumn("__hit", F.lit(False)).withColumn("__any_match", F.lit(False)))
+    cols = [*CUSTOMER_COLUMNS, "start_date", "end_date", "__src", "__hit", "__any_match"]
+    return keyed.select(*cols).unionByName(loose.select(*cols))
+
+
+def _stamp_new(rows: DataFrame, as_of: str) -> DataFrame:
+    return rows.select(*CUSTOMER_COLUMNS, _as_of(as_of).alias("start_date"),
+                       F.lit(None).cast("timestamp_ntz").alias("end_date"))
+
+
+def scd2_new_versions(snapshot: DataFrame, source: DataFrame, as_of: str,
+                      mode: str = "reference") -> DataFrame:
+    """Source rows that get a new version, stamped start=as_of, end=NULL
+    (reference: no version equal on all 18 columns; strict: no equal open
+    version)."""
+    m = _merge_pass(snapshot, source, mode)
+    return _stamp_new(m.filter(F.col("__src") & ~F.col("__any_match")), as_of)
 
 
 def scd2_close(snapshot: DataFrame, source: DataFrame, as_of: str, mode: str = "reference") -> DataFrame:
-    """Set end_date=as_of on versions whose source row differs."""
-    t, s = snapshot.alias("t"), source.alias("s")
-    j = t.join(s, F.col("t.c_customer_sk") == F.col("s.c_customer_sk"), "left")
-    matched = F.col("s.c_customer_sk").isNotNull()
-    if mode == "reference":
-        hit = matched & F.coalesce(reference_changed("t", "s"), F.lit(False))
-    else:
-        hit = matched & F.col("t.end_date").isNull() & strict_changed("t", "s")
-    end = F.when(hit, _as_of(as_of)).otherwise(F.col("t.end_date"))
-    return j.select(*[F.col(f"t.{c}") for c in CUSTOMER_COLUMNS], F.col("t.start_date"), end.alias("end_date"))
+    """The snapshot with end_date=as_of on versions whose source row differs
+    (reference: any version, closed ones re-stamped; strict: open ones)."""
+    m = _merge_pass(snapshot, source, mode).filter(~F.col("__src"))
+    return m.select(*CUSTOMER_COLUMNS, "start_date",
+                    F.when(F.col("__hit"), _as_of(as_of)).otherwise(F.col("end_date")).alias("end_date"))
 
 
 def scd2_apply(snapshot: DataFrame, source: DataFrame, as_of: str, mode: str = "reference") -> DataFrame:
-    """One run -- insert new versions, then close changed ones. The
-    update sees the rows just inserted (they equal the source, so stay open)."""
-    new = scd2_new_versions(snapshot, source, as_of, mode)
-    return scd2_close(snapshot.unionByName(new), source, as_of, mode)
+    """One run -- insert new versions, then close changed ones, in one
+    pass. New versions equal their source row, so the update step of the
+    merge never closes them; only existing versions can be closed."""
+    m = _merge_pass(snapshot, source, mode)
+    # one pass over the merged rows: versions (possibly closed) and source
+    # rows that become new versions
+    keep = ~F.col("__src") | ~F.col("__any_match")
+    start = F.when(F.col("__src"), _as_of(as_of)).otherwise(F.col("start_date"))
+    end = (F.when(F.col("__src"), F.lit(None).cast("timestamp_ntz"))
+           .when(F.col("__hit"), _as_of(as_of)).otherwise(F.col("end_date")))
+    return m.filter(keep).select(*CUSTOMER_COLUMNS, start.alias("start_date"), end.alias("end_date"))
 
 
 def assert_unique_keys(source: DataFrame) -> None:
