@@ -27,6 +27,19 @@ def test_weekly_has_two_aggregate_shuffles(spark):
     assert "partial_sum" in p
 
 
+def test_scd2_run_is_one_shuffle(spark, raw_small):
+    from retail_mart.operators import customer_scd2 as scd
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        snap = scd.scd2_apply(scd.empty_snapshot(spark), raw_small.customer(1), "2001-01-01")
+        from retail_mart.session import checkpointed
+        p = plan(scd.scd2_apply(checkpointed(snap), raw_small.customer(1), "2001-01-02"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert p.count("Exchange hashpartitioning(c_customer_sk") == 1
+    assert "SortMergeJoin" not in p
+
+
 def test_watermark_reaches_parquet_scan(spark, raw_small):
     """On stored raw tables the watermark literal is a pushed Parquet filter."""
     root = tempfile.mkdtemp(prefix="raw-")
@@ -40,8 +53,12 @@ def test_watermark_reaches_parquet_scan(spark, raw_small):
     assert "GreaterThanOrEqual(ws_sold_date_sk,245" in p
 
 
-def test_program_is_one_aggregation_without_window(spark):
-    p = plan(QUERIES["monthly_customer_program"](spark, "/root/testdata/sf0.001"))
-    assert "Window" not in p
+def test_program_is_one_aggregation_without_window(spark, raw_small):
+    from retail_mart.operators import customer_program as cp
+    from retail_mart.operators import customer_scd2 as scd
+    r = raw_small
+    prog = cp.monthly_customer_program(r.catalog_sales(with_customer=True), r.web_sales(with_customer=True),
+                                       r.date_dim(), scd.empty_snapshot(spark), 1998, 7)
+    assert "Window" not in plan(prog)
     q = QUERIES["monthly_customer_metrics"](spark, "/root/testdata/sf0.001")
     assert "Window" in plan(q)
