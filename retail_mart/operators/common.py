@@ -30,14 +30,25 @@ def for_report(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def left_join_split_nulls(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """``left LEFT JOIN right ON left_key = right_key`` with NULL keys kept out
-    of the shuffle: a NULL key never matches, so those rows take the right
-    side's columns as NULL directly instead of all hashing to one reducer
-    (a third of the rows may share the NULL key)."""
-    nulls = left.filter(F.col(left_key).isNull())
-    for f in right.schema.fields:
-        nulls = nulls.withColumn(f.name, F.lit(None).cast(f.dataType))
-    keyed = left.filter(F.col(left_key).isNotNull()).join(
-        right, F.col(left_key) == right[right_key], "left")
-    return keyed.unionByName(nulls)
+NULL_SPREAD = 1 << 16
+
+
+def left_join_spread_nulls(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+                           spread: int = NULL_SPREAD) -> DataFrame:
+    """``left LEFT JOIN right ON left_key = right_key``, with NULL keys salted.
+
+    A NULL key never matches, but hash partitioning would send every NULL-key
+    row (possibly a third of the table) to one reducer. The join runs on
+    (key, salt): dimension rows have salt 0, left rows with a NULL key get a
+    deterministic salt in 1..spread from a hash of the row (stable under task
+    retries), so they spread over all reducers and still match nothing. One
+    join, no duplicated upstream work; the dimension side is not replicated.
+    """
+    salt = F.when(F.col(left_key).isNull(),
+                  F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(spread)) + 1).otherwise(0)
+    l2 = left.withColumn("__salt", salt)
+    # derived from the key (not a literal) so the optimizer cannot fold it
+    # away and drop the salt from the join keys
+    r2 = right.withColumn("__rsalt", (F.col(right_key) * 0).cast("long"))
+    cond = (l2[left_key] == r2[right_key]) & (l2["__salt"] == r2["__rsalt"])
+    return l2.join(r2, cond, "left").drop("__salt", "__rsalt")

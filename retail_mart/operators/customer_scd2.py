@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retail_mart.operators.common import left_join_split_nulls
+from retail_mart.operators.common import left_join_spread_nulls
 from retail_mart.functions.compare import (
     CUSTOMER_COLUMNS, reference_changed, reference_match, strict_changed,
 )
@@ -154,10 +154,10 @@ def customer_dim(snapshot: DataFrame, address: DataFrame, demographics: DataFram
     """
     cur = snapshot.filter(F.col("end_date").isNull())
     # address and demographics keys may be NULL for many customers: those
-    # rows bypass the (possibly shuffled) join
-    j = left_join_split_nulls(cur, address.select("ca_address_sk", *DIM_ADDRESS),
+    # rows are salted so they do not pile onto one reducer
+    j = left_join_spread_nulls(cur, address.select("ca_address_sk", *DIM_ADDRESS),
                               "c_current_addr_sk", "ca_address_sk")
-    j = left_join_split_nulls(j, demographics.select("cd_demo_sk", *DIM_CDEMO),
+    j = left_join_spread_nulls(j, demographics.select("cd_demo_sk", *DIM_CDEMO),
                               "c_current_cdemo_sk", "cd_demo_sk")
     j = (j.join(F.broadcast(household.select("hd_demo_sk", *DIM_HDEMO)),
                F.col("c_current_hdemo_sk") == F.col("hd_demo_sk"), "left")

@@ -56,9 +56,14 @@ def shared_dir(spark: SparkSession, sub: str = "") -> str:
 
 
 def checkpointed(df):
-    """Cut lineage by writing ``df`` to the shared checkpoint folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: write ``df`` as a Parquet table in the shared folder and
+    read it back. One computation (an eager ``checkpoint()`` of an
+    unpersisted frame computes it twice), survives executor loss, and the
+    read-back carries file statistics for the planner."""
+    import uuid
+    path = shared_dir(df.sparkSession, f"cut-{uuid.uuid4().hex[:12]}")
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def new_run_dir(spark: SparkSession, prefix: str) -> str:
