@@ -7,14 +7,41 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DateType
 
 
-def calendar(date_dim: DataFrame, *cols: str) -> DataFrame:
-    """The calendar, marked for broadcast.
+# Row bounds under which a dimension is broadcast. Above them the join is
+# left to the planner (sort-merge join, or AQE's own size-checked broadcast).
+CALENDAR_MAX_ROWS = 1_000_000      # ~2,700 years of days
+CODE_TABLE_MAX_ROWS = 1_000_000    # demographic / income code tables
 
-    Its size is bounded by the number of days it covers (366 rows per year,
-    a few bytes each), independent of the fact volume, so a broadcast hash
-    join never grows with the data.
-    """
-    return F.broadcast(date_dim.select(*cols) if cols else date_dim)
+
+def checked_rows(df: DataFrame, bound: int) -> int:
+    """Rows of ``df`` up to ``bound + 1`` (a bounded job: the scan stops at
+    the limit), remembered on the DataFrame object so it runs once."""
+    n = getattr(df, "_retail_mart_rows", None)
+    if n is None:
+        n = df.limit(bound + 1).count()
+        try:
+            df._retail_mart_rows = n
+        except AttributeError:
+            pass
+    return n
+
+
+def small_side(df: DataFrame, max_rows: int, base: DataFrame | None = None) -> DataFrame:
+    """``df`` marked for broadcast if ``base`` (default ``df``) has at most
+    ``max_rows`` rows; otherwise unmarked, so the planner picks a shuffled
+    join. The broadcast never grows past the checked bound."""
+    if checked_rows(base if base is not None else df, max_rows) <= max_rows:
+        return F.broadcast(df)
+    return df
+
+
+def calendar(date_dim: DataFrame, *cols, where=None) -> DataFrame:
+    """The calendar (optionally filtered / projected), broadcast when its
+    size is within CALENDAR_MAX_ROWS -- it holds 366 rows per year of span,
+    independent of the fact volume."""
+    out = date_dim if where is None else date_dim.filter(where)
+    out = out.select(*cols) if cols else out
+    return small_side(out, CALENDAR_MAX_ROWS, base=date_dim)
 
 
 def for_report(df: DataFrame) -> DataFrame:

@@ -24,7 +24,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retail_mart.operators.common import left_join_spread_nulls
+from retail_mart.operators.common import (
+    CODE_TABLE_MAX_ROWS, left_join_spread_nulls, small_side,
+)
 from retail_mart.functions.compare import (
     CUSTOMER_COLUMNS, reference_changed, reference_match, strict_changed,
 )
@@ -147,10 +149,10 @@ def customer_dim(snapshot: DataFrame, address: DataFrame, demographics: DataFram
                  household: DataFrame, income_band: DataFrame) -> DataFrame:
     """Open versions with address, demographics, household and income band.
 
-    Household demographics and income bands are fixed-size code tables
-    (they do not grow with customers or sales) and are broadcast; address
-    and customer demographics are left to the size-checked planner (AQE
-    broadcasts them only when they are small at run time).
+    Household demographics and income bands are code tables (they do not
+    grow with customers or sales): broadcast after a bounded row check.
+    Address and customer demographics are left to the size-checked planner
+    (AQE broadcasts them only when they are small at run time).
     """
     cur = snapshot.filter(F.col("end_date").isNull())
     # address and demographics keys may be NULL for many customers: those
@@ -159,8 +161,9 @@ def customer_dim(snapshot: DataFrame, address: DataFrame, demographics: DataFram
                               "c_current_addr_sk", "ca_address_sk")
     j = left_join_spread_nulls(j, demographics.select("cd_demo_sk", *DIM_CDEMO),
                               "c_current_cdemo_sk", "cd_demo_sk")
-    j = (j.join(F.broadcast(household.select("hd_demo_sk", *DIM_HDEMO)),
-               F.col("c_current_hdemo_sk") == F.col("hd_demo_sk"), "left")
-         .join(F.broadcast(income_band.select("ib_income_band_sk", *DIM_INCOME)),
+    hd = small_side(household.select("hd_demo_sk", *DIM_HDEMO), CODE_TABLE_MAX_ROWS, base=household)
+    ib = small_side(income_band.select("ib_income_band_sk", *DIM_INCOME), CODE_TABLE_MAX_ROWS, base=income_band)
+    j = (j.join(hd, F.col("c_current_hdemo_sk") == F.col("hd_demo_sk"), "left")
+         .join(ib,
                F.col("hd_income_band_sk") == F.col("ib_income_band_sk"), "left"))
     return j.select(*CUSTOMER_DIM_COLUMNS)

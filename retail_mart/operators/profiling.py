@@ -35,9 +35,8 @@ def calendar_lookup(date_dim: DataFrame, day: str) -> DataFrame:
 def date_range(fact: DataFrame, date_key: str, date_dim: DataFrame) -> DataFrame:
     """First and last calendar date a fact table covers."""
     span = fact.agg(F.min(date_key).alias("lo"), F.max(date_key).alias("hi"))
-    cal = date_dim.select("d_date_sk", "cal_dt")
-    lo = calendar(cal.select(F.col("d_date_sk").alias("lo_sk"), F.col("cal_dt").alias("first_date")))
-    hi = calendar(cal.select(F.col("d_date_sk").alias("hi_sk"), F.col("cal_dt").alias("last_date")))
+    lo = calendar(date_dim, F.col("d_date_sk").alias("lo_sk"), F.col("cal_dt").alias("first_date"))
+    hi = calendar(date_dim, F.col("d_date_sk").alias("hi_sk"), F.col("cal_dt").alias("last_date"))
     return (span.join(lo, span["lo"] == lo["lo_sk"], "left")
             .join(hi, span["hi"] == hi["hi_sk"], "left")
             .select("first_date", "last_date"))

@@ -53,8 +53,8 @@ def weekly_rollup(daily: DataFrame, since_wk_sk: int | None = None) -> DataFrame
 def week_start(rollup: DataFrame, date_dim: DataFrame) -> DataFrame:
     """Attach the date key of the week's day 0 (inner join; drops weeks
     that have no day 0)."""
-    starts = calendar(date_dim.filter(F.col("day_of_wk_num") == 0),
-                      F.col("wk_num"), F.col("yr_num"), F.col("d_date_sk").alias("sold_wk_sk"))
+    starts = calendar(date_dim, F.col("wk_num"), F.col("yr_num"), F.col("d_date_sk").alias("sold_wk_sk"),
+                      where=F.col("day_of_wk_num") == 0)
     j = rollup.join(starts, (rollup["sold_wk_num"] == starts["wk_num"])
                     & (rollup["sold_yr_num"] == starts["yr_num"]), "inner")
     return j.drop("wk_num", "yr_num", "first_sold_date_sk")
@@ -63,8 +63,8 @@ def week_start(rollup: DataFrame, date_dim: DataFrame) -> DataFrame:
 def weeks_without_start(rollup: DataFrame, date_dim: DataFrame) -> DataFrame:
     """Q10 report: rolled-up groups the week-start join drops (their week has
     no day 0 in the calendar), counted per (year, week)."""
-    starts = calendar(date_dim.filter(F.col("day_of_wk_num") == 0),
-                      F.col("wk_num").alias("sold_wk_num"), F.col("yr_num").alias("sold_yr_num"))
+    starts = calendar(date_dim, F.col("wk_num").alias("sold_wk_num"), F.col("yr_num").alias("sold_yr_num"),
+                      where=F.col("day_of_wk_num") == 0)
     lost = rollup.join(starts, ["sold_wk_num", "sold_yr_num"], "left_anti")
     return lost.groupBy("sold_yr_num", "sold_wk_num").agg(
         F.count(F.lit(1)).alias("dropped_groups"), F.sum("qty").cast("bigint").alias("dropped_qty"))

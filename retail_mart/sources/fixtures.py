@@ -15,6 +15,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retail_mart.operators.common import CODE_TABLE_MAX_ROWS, small_side
+
 # Julian day number of 1970-01-01: d_date_sk = JULIAN_EPOCH + days since epoch.
 JULIAN_EPOCH = 2440588
 
@@ -181,7 +183,7 @@ class RawTables:
         """Customer source table as delivered on batch 1, 2 or 3."""
         c = self.given("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
         n = self.given("nation").select("n_nationkey", "n_name")
-        base = c.join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        base = c.join(small_side(n, CODE_TABLE_MAX_ROWS), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         if batch >= 2:
             base = base.filter(F.col("c_custkey") % 17 != 5)
             extra = (base.filter(F.col("c_custkey").isin(1, 2))
@@ -227,7 +229,7 @@ class RawTables:
     def customer_address(self) -> DataFrame:
         n = self.given("nation").select("n_nationkey", "n_name", "n_regionkey")
         r = self.given("region").select("r_regionkey", "r_name")
-        a = n.join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        a = n.join(small_side(r, CODE_TABLE_MAX_ROWS), F.col("n_regionkey") == F.col("r_regionkey"), "left")
         sk = (F.col("n_nationkey") + 1).cast("bigint")
         return a.select(
             sk.alias("ca_address_sk"),

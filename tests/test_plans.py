@@ -62,3 +62,25 @@ def test_program_is_one_aggregation_without_window(spark, raw_small):
     assert "Window" not in plan(prog)
     q = QUERIES["monthly_customer_metrics"](spark, "/root/testdata/sf0.001")
     assert "Window" in plan(q)
+
+
+def test_topk_limits_rows_before_the_shuffle(spark):
+    """Per-group top-k: each map task keeps its first k rows per group
+    (partial WindowGroupLimit below the exchange), so a hot group never
+    ships all of its rows to one task."""
+    for key in ("fk_sample", "top_items_by_amount"):
+        p = plan(QUERIES[key](spark, "/root/testdata/sf0.001"))
+        assert "WindowGroupLimit" in p and "Partial" in p, key
+
+
+def test_calendar_broadcast_is_size_checked(spark, raw_small):
+    from retail_mart.operators.common import CALENDAR_MAX_ROWS, calendar, checked_rows
+    dd = raw_small.date_dim()
+    assert checked_rows(dd, CALENDAR_MAX_ROWS) == 2557
+    big = dd.select("*")
+    big._retail_mart_rows = CALENDAR_MAX_ROWS + 1     # pretend the check found it too big
+    fact = raw_small.catalog_sales()
+    p = plan(fact.join(calendar(big, "d_date_sk"), fact["cs_sold_date_sk"] == F.col("d_date_sk")))
+    p_small = plan(fact.join(calendar(dd, "d_date_sk"), fact["cs_sold_date_sk"] == F.col("d_date_sk")))
+    assert "BroadcastHashJoin" in p_small
+    assert p.count("BroadcastExchange") <= p_small.count("BroadcastExchange")
