@@ -45,12 +45,16 @@ def shared_dir(spark: SparkSession, sub: str = "") -> str:
     registered as the context's checkpoint dir, so ``checkpoint()`` writes to
     the same shared place.
     """
-    sc = spark.sparkContext
-    base = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- e.g. a Spark Connect session has no context
+        sc = None
+    base = sc.getCheckpointDir() if sc is not None else None
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="retail_mart-")
-        sc.setCheckpointDir(base)
-        base = sc.getCheckpointDir() or base
+        if sc is not None:
+            sc.setCheckpointDir(base)
+            base = sc.getCheckpointDir() or base
     base = base.rstrip("/")
     return f"{base}/{sub}" if sub else base
 

@@ -82,18 +82,21 @@ def replace_partitions(fresh: DataFrame, path: str, partition_cols: list[str],
     partition is still split over several tasks by the spread columns.
     """
     spark = fresh.sparkSession
-    if spread_cols is not None:
-        fresh = fresh.repartitionByRange(*partition_cols, *spread_cols)
-    (fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).parquet(path))
+    drop_deleted = False
     if deleted:
         cond = None
         for c, v in deleted.items():
             e = F.col(c) == F.lit(v)
             cond = e if cond is None else cond & e
+        # does the new slice rewrite the deleted period? (the filter reaches
+        # the raw scan, so this reads one period, not the slice)
+        drop_deleted = fresh.filter(cond).limit(1).count() == 0
+    out = fresh.repartitionByRange(*partition_cols, *spread_cols) if spread_cols is not None else fresh
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_cols).parquet(path))
+    if drop_deleted:
         sub = "/".join(f"{c}={v}" for c, v in deleted.items())
-        if spark.read.parquet(path).filter(cond).limit(1).count() == 0:
-            delete(spark, f"{path.rstrip('/')}/{sub}")
+        delete(spark, f"{path.rstrip('/')}/{sub}")
 
 
 def read_partitioned(spark: SparkSession, path: str, casts: dict[str, str]) -> DataFrame | None:
