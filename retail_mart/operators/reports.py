@@ -26,7 +26,7 @@ def ranked_items(weekly: DataFrame, metric: str, top: bool = True, n: int = TOP_
     w = Window.partitionBy(*WEEK).orderBy(order, F.col("item_sk").asc())
     return (item_weeks(weekly).withColumn("item_rank", F.row_number().over(w))
             .filter(F.col("item_rank") <= n)
-            .select(*WEEK, "item_rank", "item_sk", F.col(metric)))
+            .select(*WEEK, F.col("item_rank").cast("bigint").alias("item_rank"), "item_sk", F.col(metric)))
 
 
 def low_inventory_items(weekly: DataFrame) -> DataFrame:
