@@ -10,11 +10,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from retail_mart.operators import customer_program as cp
+from retail_mart.operators import customer_scd2 as scd
 from retail_mart.operators import daily_sales as ds
+from retail_mart.operators import profiling as pf
+from retail_mart.operators import reports as rp
 from retail_mart.operators import weekly_inventory as wi
 from retail_mart.operators.common import for_report
-from retail_mart.sources.fixtures import RawTables
+from retail_mart.session import checkpointed, new_run_dir
+from retail_mart.sources import ingest
+from retail_mart.sources.fixtures import CUSTOMER_BATCH_DATES, RawTables
+from retail_mart.streaming import incremental as inc
+from retail_mart.streaming.watermark import (
+    period_watermark, target_period, target_period_frame, watermark_frame,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -79,7 +90,6 @@ def q_weekly_sales_inventory(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ reports
-from retail_mart.operators import reports as rp  # noqa: E402
 
 
 @register("top_items_by_amount")
@@ -113,12 +123,6 @@ def q_low_stock_by_warehouse(spark, sf_dir):
 
 
 # -------------------------------------------------------------- incremental
-from pyspark.sql import functions as F  # noqa: E402
-
-from retail_mart.streaming import incremental as inc  # noqa: E402
-from retail_mart.streaming.watermark import (  # noqa: E402
-    period_watermark, target_period, target_period_frame, watermark_frame,
-)
 
 
 def sales_span(r: RawTables) -> tuple[int, int]:
@@ -162,10 +166,6 @@ def q_weekly_sales_inventory_incremental(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ monthly
-from retail_mart.operators import customer_program as cp  # noqa: E402
-from retail_mart.operators import customer_scd2 as scd  # noqa: E402
-from retail_mart.session import checkpointed  # noqa: E402
-from retail_mart.sources.fixtures import CUSTOMER_BATCH_DATES  # noqa: E402
 
 
 def snapshot_after(r: RawTables, batches: int = 3, mode: str = "reference"):
@@ -295,9 +295,6 @@ def q_customer_demographics(spark, sf_dir):
 
 
 # --------------------------------------------------------------- profiling
-from retail_mart.operators import profiling as pf  # noqa: E402
-from retail_mart.sources import ingest  # noqa: E402
-from retail_mart.session import new_run_dir  # noqa: E402
 
 LOOKUP_DAY = "1998-01-01"
 
