@@ -81,12 +81,19 @@ def _merge_pass(snapshot: DataFrame, source: DataFrame, mode: str) -> DataFrame:
     else:
         match = is_open & ~strict_changed(t, s)
         hit = present & is_open & strict_changed(t, s)
+    # a MERGE whose source matches one target row twice is an error: fail
+    # the job if a key arrives twice (checked in the same pass, no extra job)
+    n_src = F.sum(F.col("__src").cast("int")).over(w)
+    unique = F.when(n_src > 1, F.raise_error(F.concat(
+        F.lit("customer source has duplicate c_customer_sk "), F.col("c_customer_sk").cast("string"))))
     keyed = (keyed.withColumn("__match", ~F.col("__src") & present & match)
              .withColumn("__hit", ~F.col("__src") & hit)
-             .withColumn("__any_match", F.max("__match").over(w)))
+             .withColumn("__any_match", F.max("__match").over(w))
+             .withColumn("__ok", F.coalesce(unique.cast("boolean"), F.lit(True))))
     loose = (both.filter(F.col("c_customer_sk").isNull())
-             .withColumn("__hit", F.lit(False)).withColumn("__any_match", F.lit(False)))
-    cols = [*CUSTOMER_COLUMNS, "start_date", "end_date", "__src", "__hit", "__any_match"]
+             .withColumn("__hit", F.lit(False)).withColumn("__any_match", F.lit(False))
+             .withColumn("__ok", F.lit(True)))
+    cols = [*CUSTOMER_COLUMNS, "start_date", "end_date", "__src", "__hit", "__any_match", "__ok"]
     return keyed.select(*cols).unionByName(loose.select(*cols))
 
 
@@ -101,13 +108,13 @@ def scd2_new_versions(snapshot: DataFrame, source: DataFrame, as_of: str,
     (reference: no version equal on all 18 columns; strict: no equal open
     version)."""
     m = _merge_pass(snapshot, source, mode)
-    return _stamp_new(m.filter(F.col("__src") & ~F.col("__any_match")), as_of)
+    return _stamp_new(m.filter(F.col("__ok") & F.col("__src") & ~F.col("__any_match")), as_of)
 
 
 def scd2_close(snapshot: DataFrame, source: DataFrame, as_of: str, mode: str = "reference") -> DataFrame:
     """The snapshot with end_date=as_of on versions whose source row differs
     (reference: any version, closed ones re-stamped; strict: open ones)."""
-    m = _merge_pass(snapshot, source, mode).filter(~F.col("__src"))
+    m = _merge_pass(snapshot, source, mode).filter(F.col("__ok") & ~F.col("__src"))
     return m.select(*CUSTOMER_COLUMNS, "start_date",
                     F.when(F.col("__hit"), _as_of(as_of)).otherwise(F.col("end_date")).alias("end_date"))
 
@@ -119,7 +126,7 @@ def scd2_apply(snapshot: DataFrame, source: DataFrame, as_of: str, mode: str = "
     m = _merge_pass(snapshot, source, mode)
     # one pass over the merged rows: versions (possibly closed) and source
     # rows that become new versions
-    keep = ~F.col("__src") | ~F.col("__any_match")
+    keep = F.col("__ok") & (~F.col("__src") | ~F.col("__any_match"))
     start = F.when(F.col("__src"), _as_of(as_of)).otherwise(F.col("start_date"))
     end = (F.when(F.col("__src"), F.lit(None).cast("timestamp_ntz"))
            .when(F.col("__hit"), _as_of(as_of)).otherwise(F.col("end_date")))
@@ -127,7 +134,8 @@ def scd2_apply(snapshot: DataFrame, source: DataFrame, as_of: str, mode: str = "
 
 
 def assert_unique_keys(source: DataFrame) -> None:
-    """A MERGE matching one target row twice is an error; check the source."""
+    """Stand-alone form of the uniqueness guard that every merge pass
+    applies in-line (a MERGE matching one target row twice is an error)."""
     dup = source.groupBy("c_customer_sk").count().filter(F.col("count") > 1).limit(1).count()
     if dup:
         raise ValueError("customer source has duplicate c_customer_sk")

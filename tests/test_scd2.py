@@ -98,3 +98,11 @@ def test_fixture_batches_match_survey(spark):
         snap = scd.scd2_apply(snap, r.customer(b), CUSTOMER_BATCH_DATES[b - 1])
         counts.append((snap.count(), snap.filter(F.col("end_date").isNull()).count()))
     assert counts == [(1500, 1500), (1726, 1585), (1819, 1607)]
+
+
+def test_duplicate_source_key_fails_like_merge(spark):
+    import pytest
+    src = source(spark, [(1, "A", 1), (1, "B", 1), (2, "A", 1)])
+    snap = scd.scd2_apply(scd.empty_snapshot(spark), source(spark, RUNS[0]), DAYS[0])
+    with pytest.raises(Exception, match="duplicate c_customer_sk"):
+        scd.scd2_apply(snap, src, DAYS[1]).collect()
