@@ -106,3 +106,16 @@ def test_duplicate_source_key_fails_like_merge(spark):
     snap = scd.scd2_apply(scd.empty_snapshot(spark), source(spark, RUNS[0]), DAYS[0])
     with pytest.raises(Exception, match="duplicate c_customer_sk"):
         scd.scd2_apply(snap, src, DAYS[1]).collect()
+
+
+def test_strict_one_open_version_per_live_customer(spark):
+    from retail_mart.sources.fixtures import CUSTOMER_BATCH_DATES, RawTables
+    from tests.conftest import SF_MID
+    r = RawTables(spark, SF_MID)
+    snap = scd.empty_snapshot(spark)
+    for b in (1, 2, 3):
+        snap = scd.scd2_apply(snap, r.customer(b), CUSTOMER_BATCH_DATES[b - 1], "strict")
+    live = r.customer(3).select("c_customer_sk")
+    open_counts = (snap.filter(F.col("end_date").isNull()).groupBy("c_customer_sk").count()
+                   .join(live, "c_customer_sk", "right"))
+    assert open_counts.filter(F.col("count").isNull() | (F.col("count") != 1)).count() == 0
