@@ -65,17 +65,17 @@ def left_join_spread_nulls(left: DataFrame, right: DataFrame, left_key: str, rig
     """``left LEFT JOIN right ON left_key = right_key``, with NULL keys salted.
 
     A NULL key never matches, but hash partitioning would send every NULL-key
-    row (possibly a third of the table) to one reducer. The join runs on
-    (key, salt): dimension rows have salt 0, left rows with a NULL key get a
-    deterministic salt in 1..spread from a hash of the row (stable under task
-    retries), so they spread over all reducers and still match nothing. One
-    join, no duplicated upstream work; the dimension side is not replicated.
+    row (possibly a third of the table) to one reducer. The join runs on one
+    composite key: (is-NULL flag, key) on the right is (false, key); a
+    left row with a NULL key gets (true, salt), the salt a deterministic hash
+    of the row in 1..spread (stable under task retries). Those rows spread
+    over all reducers and still match nothing. One join, no duplicated
+    upstream work, nothing replicated. Keys are integer surrogate keys.
     """
-    salt = F.when(F.col(left_key).isNull(),
-                  F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(spread)) + 1).otherwise(0)
-    l2 = left.withColumn("__salt", salt)
-    # derived from the key (not a literal) so the optimizer cannot fold it
-    # away and drop the salt from the join keys
-    r2 = right.withColumn("__rsalt", (F.col(right_key) * 0).cast("long"))
-    cond = (l2[left_key] == r2[right_key]) & (l2["__salt"] == r2["__rsalt"])
-    return l2.join(r2, cond, "left").drop("__salt", "__rsalt")
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(spread)) + 1
+    lk = F.struct(F.col(left_key).isNull().alias("n"),
+                  F.coalesce(F.col(left_key).cast("long"), salt).alias("k"))
+    rk = F.struct(F.lit(False).alias("n"), F.col(right_key).cast("long").alias("k"))
+    l2 = left.withColumn("__jk", lk)
+    r2 = right.withColumn("__rjk", rk)
+    return l2.join(r2, l2["__jk"] == r2["__rjk"], "left").drop("__jk", "__rjk")
