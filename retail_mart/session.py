@@ -74,3 +74,28 @@ def new_run_dir(spark: SparkSession, prefix: str) -> str:
     """A fresh, never-reused sub-folder of the shared folder."""
     import uuid
     return shared_dir(spark, f"{prefix}-{uuid.uuid4().hex[:12]}")
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings that keep shuffle and scan partitions near ``target_partition_bytes``.
+
+    * scan splits: ``maxPartitionBytes`` = target (Spark itself shrinks
+      splits toward input / cores for small inputs);
+    * shuffle: start with ~input / target partitions (at least 2 per core) and
+      let AQE coalesce small ones toward the advisory size, and split skewed
+      partitions of sort-merge joins;
+    * broadcast threshold stays at its default: explicit broadcasts are
+      size-checked in code (operators.common.small_side).
+    For 100 TB on 1,000 executors x 8 cores: ~400k shuffle partitions before
+    coalescing, 256 MB splits.
+    """
+    split = target_partition_bytes
+    shuffle = max(2 * total_cores, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }

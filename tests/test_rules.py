@@ -29,3 +29,12 @@ def test_ratio_half_up_and_zero_division(spark):
 def test_whole_units_half_up(spark):
     df = spark.createDataFrame([(Decimal("10.49"),), (Decimal("10.50"),), (Decimal("0.50"),)], "a decimal(38,2)")
     assert [r[0] for r in df.select(whole_units(F.col("a"))).collect()] == [10, 11, 1]
+
+
+def test_cluster_conf_scales_with_input():
+    from retail_mart.session import cluster_conf
+    small = cluster_conf(40 << 20, 8)
+    big = cluster_conf(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
