@@ -6,6 +6,7 @@ dimension copies. Here each is a function over a raw layer of Parquet tables
 (``{raw_root}/{table}``) and a mart root, callable from any job runner:
 
     python -m retail_mart ingest-inventory --raw-root R --csv PATH
+    python -m retail_mart watch-inventory --raw-root R --landing DIR [--checkpoint C]
     python -m retail_mart daily|weekly|monthly --raw-root R --mart-root M
     python -m retail_mart customer --raw-root R --mart-root M --as-of 2024-01-31
     python -m retail_mart run-all --raw-root R --mart-root M --as-of 2024-01-31
@@ -66,17 +67,25 @@ def copy_dims(spark: SparkSession, raw_root: str, mart_root: str) -> dict:
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="retail_mart")
-    ap.add_argument("job", choices=["ingest-inventory", "daily", "customer", "weekly", "monthly", "run-all",
+    ap.add_argument("job", choices=["ingest-inventory", "watch-inventory", "daily", "customer", "weekly", "monthly", "run-all",
                                     "copy-dims"])
     ap.add_argument("--raw-root", required=True)
     ap.add_argument("--mart-root")
     ap.add_argument("--csv")
+    ap.add_argument("--landing")
+    ap.add_argument("--checkpoint")
     ap.add_argument("--as-of")
     ap.add_argument("--mode", default="reference", choices=["reference", "strict", "documented"])
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"retail_mart {a.job}").getOrCreate()
     if a.job == "ingest-inventory":
         res = ingest_inventory(spark, a.raw_root, a.csv)
+    elif a.job == "watch-inventory":
+        from retail_mart.session import shared_dir
+        from retail_mart.streaming.inventory_files import load_landed_inventory
+        ck = a.checkpoint or shared_dir(spark, "inventory-stream")
+        load_landed_inventory(spark, a.landing, a.raw_root, ck)
+        res = {"inventory": sinks.current_path(spark, f"{a.raw_root.rstrip('/')}/inventory")}
     elif a.job == "copy-dims":
         res = copy_dims(spark, a.raw_root, a.mart_root)
     else:

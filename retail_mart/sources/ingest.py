@@ -23,29 +23,39 @@ INVENTORY_KEYS = ["inv_date_sk", "inv_item_sk", "inv_warehouse_sk"]
 _BAD = "_corrupt_record"
 
 
-def load_inventory(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Read the inventory CSV; return (good rows, rejected rows).
+def inventory_read_schema() -> T.StructType:
+    """The file's columns plus the corrupt-record column PERMISSIVE fills."""
+    return T.StructType(INVENTORY_SCHEMA.fields + [T.StructField(_BAD, T.StringType())])
 
-    Short, long and mistyped lines are caught by PERMISSIVE parsing into the
-    corrupt-record column; rows with a NULL key violate the NOT NULL columns.
-    """
-    schema = T.StructType(INVENTORY_SCHEMA.fields + [T.StructField(_BAD, T.StringType())])
-    df = (spark.read.schema(schema)
-          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD)
-          .option("header", "false").option("enforceSchema", "true")
-          .csv(path))
+
+CSV_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD, "header": "false",
+               "enforceSchema": "true"}
+
+
+def split_inventory(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected rows) of a parsed inventory file."""
     keys_ok = F.col(INVENTORY_KEYS[0]).isNotNull()
     for k in INVENTORY_KEYS[1:]:
         keys_ok = keys_ok & F.col(k).isNotNull()
     ok = F.col(_BAD).isNull() & keys_ok
-    good = df.filter(ok).select(*INVENTORY_SCHEMA.names)
+    good = parsed.filter(ok).select(*INVENTORY_SCHEMA.names)
     line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in INVENTORY_SCHEMA.names])
-    rejects = df.filter(~ok).select(
+    rejects = parsed.filter(~ok).select(
         F.coalesce(F.col(_BAD), line).alias("raw_line"),
         F.when(F.col(_BAD).isNotNull(), F.lit("malformed")).otherwise(F.lit("null key")).alias("reason"))
     return good, rejects
 
 
+def load_inventory(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Read the inventory CSV; return (good rows, rejected rows).
+
+    Short, long and mistyped lines are caught by PERMISSIVE parsing into the
+    corrupt-record column; rows with a NULL key violate the NOT NULL columns.
+    """
+    parsed = spark.read.schema(inventory_read_schema()).options(**CSV_OPTIONS).csv(path)
+    return split_inventory(parsed)
+
+
 def inventory_csv_lines(inventory: DataFrame) -> DataFrame:
     """Render inventory rows as CSV lines, with a data-derived share of
     faulty lines (short, long, non-numeric, empty key) so the loader's
