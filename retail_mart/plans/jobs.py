@@ -67,8 +67,8 @@ def copy_dims(spark: SparkSession, raw_root: str, mart_root: str) -> dict:
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="retail_mart")
-    ap.add_argument("job", choices=["ingest-inventory", "watch-inventory", "daily", "customer", "weekly", "monthly", "run-all",
-                                    "copy-dims"])
+    ap.add_argument("job", choices=["ingest-inventory", "watch-inventory", "daily", "customer", "weekly",
+                                    "monthly", "run-all", "copy-dims"])
     ap.add_argument("--raw-root", required=True)
     ap.add_argument("--mart-root")
     ap.add_argument("--csv")
