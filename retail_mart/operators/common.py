@@ -16,14 +16,16 @@ CODE_TABLE_MAX_ROWS = 1_000_000    # demographic / income code tables
 def checked_rows(df: DataFrame, bound: int) -> int:
     """Rows of ``df`` up to ``bound + 1`` (a bounded job: the scan stops at
     the limit), remembered on the DataFrame object so it runs once."""
-    n = getattr(df, "_retail_mart_rows", None)
-    if n is None:
-        n = df.limit(bound + 1).count()
+    memo = getattr(df, "_retail_mart_rows", None)
+    if memo is None:
+        memo = {}
         try:
-            df._retail_mart_rows = n
+            df._retail_mart_rows = memo
         except AttributeError:
             pass
-    return n
+    if bound not in memo:
+        memo[bound] = df.limit(bound + 1).count()
+    return memo[bound]
 
 
 def small_side(df: DataFrame, max_rows: int, base: DataFrame | None = None) -> DataFrame:

@@ -27,8 +27,10 @@ def test_weekly_has_two_aggregate_shuffles(spark):
     assert "partial_sum" in p
 
 
-def test_scd2_run_is_one_shuffle(spark, raw_small):
+def test_scd2_run_is_one_shuffle(spark, raw_small, monkeypatch):
+    """Large sources (above the broadcast bound) merge in one shuffle."""
     from retail_mart.operators import customer_scd2 as scd
+    monkeypatch.setattr(scd, "SCD2_BROADCAST_MAX_ROWS", 0)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         snap = scd.scd2_apply(scd.empty_snapshot(spark), raw_small.customer(1), "2001-01-01")
@@ -78,7 +80,7 @@ def test_calendar_broadcast_is_size_checked(spark, raw_small):
     dd = raw_small.date_dim()
     assert checked_rows(dd, CALENDAR_MAX_ROWS) == 2557
     big = dd.select("*")
-    big._retail_mart_rows = CALENDAR_MAX_ROWS + 1     # pretend the check found it too big
+    big._retail_mart_rows = {CALENDAR_MAX_ROWS: CALENDAR_MAX_ROWS + 1}   # pretend it is too big
     fact = raw_small.catalog_sales()
     p = plan(fact.join(calendar(big, "d_date_sk"), fact["cs_sold_date_sk"] == F.col("d_date_sk")))
     p_small = plan(fact.join(calendar(dd, "d_date_sk"), fact["cs_sold_date_sk"] == F.col("d_date_sk")))

@@ -1,5 +1,9 @@
-"""SCD-2 merge semantics: the reduced scenario of SURVEY 5.3 and invariants."""
+"""SCD-2 merge semantics: the reduced scenario of SURVEY 5.3 and invariants.
 
+Every test runs twice: with the broadcast-join plan (small source) and with
+the one-shuffle windowed plan (forced by a zero size bound)."""
+
+import pytest
 from pyspark.sql import functions as F
 
 from retail_mart.functions.compare import CUSTOMER_COLUMNS
@@ -15,6 +19,13 @@ RUNS = [
 DAYS = ["2001-01-01", "2001-01-02", "2001-01-03", "2001-01-04"]
 
 
+@pytest.fixture(autouse=True, params=["broadcast", "window"])
+def plan_path(request, monkeypatch):
+    if request.param == "window":
+        monkeypatch.setattr(scd, "SCD2_BROADCAST_MAX_ROWS", 0)
+    return request.param
+
+
 def source(spark, rows):
     data = []
     for key, s, n in rows:
@@ -101,11 +112,10 @@ def test_fixture_batches_match_survey(spark):
 
 
 def test_duplicate_source_key_fails_like_merge(spark):
-    import pytest
     src = source(spark, [(1, "A", 1), (1, "B", 1), (2, "A", 1)])
     snap = scd.scd2_apply(scd.empty_snapshot(spark), source(spark, RUNS[0]), DAYS[0])
     with pytest.raises(Exception, match="duplicate c_customer_sk"):
-        scd.scd2_apply(snap, src, DAYS[1]).collect()
+        scd.scd2_apply(snap, src, DAYS[1]).collect()     # at planning (small) or run time (large)
 
 
 def test_strict_one_open_version_per_live_customer(spark):
