@@ -211,14 +211,6 @@ def scd2_apply(snapshot: DataFrame, source: DataFrame, as_of: str, mode: str = "
     return m.filter(keep).select(*CUSTOMER_COLUMNS, start.alias("start_date"), end.alias("end_date"))
 
 
-def assert_unique_keys(source: DataFrame) -> None:
-    """Stand-alone form of the uniqueness guard that every merge pass
-    applies in-line (a MERGE matching one target row twice is an error)."""
-    dup = source.groupBy("c_customer_sk").count().filter(F.col("count") > 1).limit(1).count()
-    if dup:
-        raise ValueError("customer source has duplicate c_customer_sk")
-
-
 # Fixed values that must equal the reference: the customer dimension's
 # columns taken from each joined table, in the dimension's column order.
 DIM_ADDRESS = ["ca_street_name", "ca_suite_number", "ca_state", "ca_location_type", "ca_country",

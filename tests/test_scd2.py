@@ -129,3 +129,15 @@ def test_strict_one_open_version_per_live_customer(spark):
     open_counts = (snap.filter(F.col("end_date").isNull()).groupBy("c_customer_sk").count()
                    .join(live, "c_customer_sk", "right"))
     assert open_counts.filter(F.col("count").isNull() | (F.col("count") != 1)).count() == 0
+
+
+def test_close_and_new_versions_compose_to_apply(spark):
+    """S9 (close) and S8 (new versions) are the two halves of one run."""
+    snap = scd.scd2_apply(scd.empty_snapshot(spark), source(spark, RUNS[0]), DAYS[0])
+    src = source(spark, RUNS[1])
+    applied = scd.scd2_apply(snap, src, DAYS[1])
+    halves = scd.scd2_close(snap, src, DAYS[1]).unionByName(scd.scd2_new_versions(snap, src, DAYS[1]))
+    key = lambda r: (r.c_customer_sk, str(r.c_last_name), str(r.start_date), str(r.end_date))
+    assert sorted(map(key, applied.collect())) == sorted(map(key, halves.collect()))
+    closed = scd.scd2_close(snap, src, DAYS[1]).filter(F.col("end_date").isNotNull()).collect()
+    assert [(r.c_customer_sk, r.c_last_name) for r in closed] == [(1, "A")]
