@@ -86,3 +86,19 @@ def test_calendar_broadcast_is_size_checked(spark, raw_small):
     p_small = plan(fact.join(calendar(dd, "d_date_sk"), fact["cs_sold_date_sk"] == F.col("d_date_sk")))
     assert "BroadcastHashJoin" in p_small
     assert p.count("BroadcastExchange") <= p_small.count("BroadcastExchange")
+
+
+def test_weekly_incremental_prunes_daily_partitions(spark, raw_small):
+    """On the stored, date-partitioned daily table the weekly watermark is a
+    partition filter: only the last weeks' partitions are read."""
+    from retail_mart.operators import daily_sales as ds
+    from retail_mart.operators import weekly_inventory as wi
+    from retail_mart.sources import sinks
+    r = raw_small
+    path = tempfile.mkdtemp(prefix="daily-") + "/daily"
+    sinks.replace_partitions(ds.daily_sales(r.catalog_sales(), r.web_sales(), r.date_dim()), path,
+                             ["sold_date_sk"], spread_cols=["item_sk"])
+    daily = sinks.read_partitioned(spark, path, {"sold_date_sk": "bigint"})
+    p = plan(wi.weekly_sales_inventory(daily, r.inventory(), r.date_dim(), since_wk_sk=2451900))
+    scan = [ln for ln in p.split("\n") if "FileScan parquet" in ln and "daily" in ln][0]
+    assert "PartitionFilters: [isnotnull(sold_date_sk" in scan and "2451900" in scan
