@@ -131,7 +131,8 @@ def _join_apply(snapshot: DataFrame, source: DataFrame, as_of: str, mode: str):
     new = _stamp_new(new, as_of)
     # update: new versions equal their source row and are never closed, so
     # only the existing versions go through the key join
-    j = snapshot.alias("t").join(src, F.col("t.c_customer_sk") == F.col("s.c_customer_sk"), "left")
+    # the source passed the checked size bound: broadcast it as the build side
+    j = snapshot.alias("t").join(F.broadcast(src), F.col("t.c_customer_sk") == F.col("s.c_customer_sk"), "left")
     present = F.col("s.c_customer_sk").isNotNull()
     if mode == "reference":
         hit = present & reference_changed("t", "s")
