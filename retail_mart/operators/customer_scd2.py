@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retail_mart.operators.common import (
-    CODE_TABLE_MAX_ROWS, checked_rows, left_join_spread_nulls, small_side,
+    CODE_TABLE_MAX_ROWS, left_join_spread_nulls, small_side,
 )
 from retail_mart.functions.compare import (
     COALESCED_COLUMNS, CUSTOMER_COLUMNS, reference_changed, reference_match, strict_changed,
@@ -113,11 +113,11 @@ SCD2_BROADCAST_MAX_ROWS = 200_000
 
 
 def _join_apply(snapshot: DataFrame, source: DataFrame, as_of: str, mode: str):
-    """Small source (size-checked): the MERGE as two joins that the planner
-    runs as broadcast hash joins -- insert = source anti join versions on the
-    18-column condition (plain equalities, so they are the join keys), update
-    = versions (+ new rows) left join source on the key.
-    Returns (new versions, existing versions after the update)."""
+    """Small source (size-checked): the MERGE as two joins -- insert = source
+    anti join versions on the 18-column condition (plain equalities, so they
+    are the join keys; the planner picks the strategy from the snapshot's
+    size), update = existing versions left join the broadcast source on the
+    key. Returns (new versions, existing versions after the update)."""
     if mode not in ("reference", "strict"):
         raise ValueError(mode)
     src = source.select(*CUSTOMER_COLUMNS).alias("s")
@@ -130,8 +130,8 @@ def _join_apply(snapshot: DataFrame, source: DataFrame, as_of: str, mode: str):
         new = src.join(snapshot.filter(F.col("end_date").isNull()).alias("t"), cond, "left_anti")
     new = _stamp_new(new, as_of)
     # update: new versions equal their source row and are never closed, so
-    # only the existing versions go through the key join
-    # the source passed the checked size bound: broadcast it as the build side
+    # only the existing versions go through the key join; the source passed
+    # the checked size bound and is the broadcast build side
     j = snapshot.alias("t").join(F.broadcast(src), F.col("t.c_customer_sk") == F.col("s.c_customer_sk"), "left")
     present = F.col("s.c_customer_sk").isNotNull()
     if mode == "reference":
