@@ -67,7 +67,8 @@ def checkpointed(df):
     import uuid
     path = shared_dir(df.sparkSession, f"cut-{uuid.uuid4().hex[:12]}")
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # the schema is known: no inference job on read-back
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def new_run_dir(spark: SparkSession, prefix: str) -> str:
