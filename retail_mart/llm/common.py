@@ -6,7 +6,6 @@ import re
 import uuid
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,9 +15,12 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 _WORD = re.compile(r"\w+")
 _MULT = np.uint64(0x9E3779B97F4A7C15)
-# Words remembered by a worker; the memory is emptied when full, results do not depend on it.
-WORD_MEMO = 400_000
-_memo: dict[str, int] = {}
+# Bytes of ASCII word characters stay, other ASCII becomes a blank.
+_BLANKED = bytes(b if b >= 128 or chr(b).isalnum() or b == 95 else 32 for b in range(256))
+# Text of ASCII and U+00C0 to U+017F: all of its non-ASCII characters but two are letters.
+_LATIN = bytes([*range(128), 0xC3, 0xC4, 0xC5, *range(0x80, 0xC0)])
+# Bytes hashed at a time; a longer text is cut at a blank.
+_PIECE = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,18 +40,54 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def words(text: str | None) -> list[str]:
+def normal(text: str | None) -> bytes:
+    """The lower-cased word runs of the whole text in UTF-8, with blanks between (null: none)."""
+    if not text:
+        return b""
+    raw = text.lower().encode("utf-8", "replace")
+    if not raw.translate(None, _LATIN) and b"\xc3\x97" not in raw and b"\xc3\xb7" not in raw:
+        return raw.translate(_BLANKED)
+    return " ".join(_WORD.findall(text.lower())).encode("utf-8", "replace")
+
+
+def words(text: str | None) -> list[bytes]:
     """Lower-cased word runs of the whole text (null: none)."""
-    return _WORD.findall(text.lower()) if text else []
+    return normal(text).split()
+
+
+_powers: list[np.ndarray] = []
+
 
+def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number modulo 2^64, and of its inverse."""
+    if not _powers or len(_powers[0]) < n:
+        base, size = int(_MULT), max(n, _PIECE + 1)
+        _powers[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, x, np.uint64)]))
+                      for x in (base, pow(base, -1, 1 << 64))]
+    return _powers[0][:n], _powers[1]
 
-def word_hashes(ws: list[str]) -> np.ndarray:
-    """A stable 64-bit hash for each word."""
-    if len(_memo) > WORD_MEMO:
-        _memo.clear()
-    for w in set(ws).difference(_memo):
-        _memo[w] = xxhash.xxh3_64_intdigest(w)
-    return np.fromiter(map(_memo.__getitem__, ws), np.uint64, len(ws))
+
+def word_hashes(body: bytes) -> np.ndarray:
+    """A stable 64-bit hash of each word of a ``normal`` text."""
+    out, at = [np.empty(0, np.uint64)], 0
+    while at < len(body):
+        end = min(len(body), at + _PIECE)
+        if end < len(body):
+            blank = body.rfind(b" ", at, end)
+            blank = blank if blank > at else body.find(b" ", end)
+            end = blank if blank > 0 else len(body)
+        out.append(_piece_hashes(np.frombuffer(body, np.uint8, end - at, at)))
+        at = end
+    return out[1] if len(out) == 2 else np.concatenate(out)
+
+
+def _piece_hashes(b: np.ndarray) -> np.ndarray:
+    inside = np.concatenate([[False], b != 32, [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    power, inverse = _power(len(b))
+    run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[b] * power)])
+    return mix((run[ends] - run[starts]) * inverse[starts])
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -59,6 +97,9 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _MULT)
+
+
 def shingles(hs: np.ndarray, k: int = SHINGLE_WORDS) -> np.ndarray:
     """Hashes of all runs of ``k`` words, in text order, repeats kept; fewer
     than ``k`` words give none."""

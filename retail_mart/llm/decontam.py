@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retail_mart.llm.common import SIMILARITY, mix, shingles, word_hashes, words
+from retail_mart.llm.common import SIMILARITY, mix, normal, shingles, word_hashes
 
 # Distinct (item, shingle) rows held by a worker at once; a larger benchmark is searched block by block.
 BLOCK_SHINGLES = 2_000_000
@@ -40,7 +40,7 @@ def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         items, sets = [], []
         for i, text in zip(b.column("item").to_pylist(), b.column("text").to_pylist(), strict=True):
-            s = np.unique(shingles(word_hashes(words(text))))
+            s = np.unique(shingles(word_hashes(normal(text))))
             if len(s):
                 items.append(i)
                 sets.append(s.view(np.int64))
@@ -118,7 +118,7 @@ def contained_items(documents: DataFrame, items: DataFrame, doc_id: str = "doc_i
             for b in batches:
                 d, it, n = [], [], []
                 for doc, body in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
-                    got, both = ix.search(shingles(word_hashes(words(body.as_py()))))
+                    got, both = ix.search(shingles(word_hashes(normal(body.as_py()))))
                     d += [doc] * len(got)
                     it.append(got)
                     n.append(both)
@@ -146,7 +146,7 @@ def decontaminate(documents: DataFrame, items: DataFrame, text: str = "text", it
 
         def clean(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                ok = [not len(held.value.search(shingles(word_hashes(words(t.as_py()))))[0]) for t in b.column(at)]
+                ok = [not len(held.value.search(shingles(word_hashes(normal(t.as_py()))))[0]) for t in b.column(at)]
                 yield b.filter(pa.array(ok, pa.bool_()))
 
         out = out.mapInArrow(clean, documents.schema)

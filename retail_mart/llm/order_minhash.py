@@ -7,15 +7,16 @@ texts agree on a key when they share the picked passages in the same order,
 which grows with edit similarity rather than with set overlap. Texts that
 share a key are compared with the key's leader (its smallest digest) by a
 banded alignment of their words: similar at 1 - distance / longer length of
-0.8 or more. A text that fails against a leader is compared with the other
-texts of that key, unless both are connected already, after an exact filter
-by length and by a histogram of word hashes (a lower bound of the distance).
-Classes are the connected components of equal and similar texts.
+0.8 or more. Classes are the connected components of equal and similar texts.
 
-Copies are one text (their md5) before any pair is formed, and a key's group
-gives one pair per text, so large groups stay linear; only texts that share a
-key with dissimilar ones meet in blocks of bounded size. No cap is set
-anywhere: frequent keys are treated like rare ones.
+A text that fails against a leader shares some passage with it, often one
+that very many texts share. Its k-mers that the leader hasn't are sketched
+again, and the next round compares the texts that share such a key, until no
+keys are shared any more: texts that are similar beyond the
+common passage still meet, those that only share the passage don't. Each
+round has one pair per text and key, so hot passages and large groups of
+copies stay linear; copies are one text (their md5) before any pair is
+formed, and no cap is set on any group.
 
 Edge cases: a null text is a class of its own row; texts without a word are
 similar to equal texts only; texts with fewer than five words have one k-mer,
@@ -35,50 +36,54 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retail_mart.llm.common import (
-    SHINGLE_WORDS, SIMILARITY, components, cut, free_name, mix, shingles, word_hashes, words,
+    SHINGLE_WORDS, SIMILARITY, components, cut, free_name, mix, normal, shingles, word_hashes,
 )
 
 SKETCHES, PICKED = 16, 2
-BINS = 64
-# Texts of one key that meet at once when they are compared with each other.
-BLOCK = 256
-_SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-# k-mers of a text hashed at a time for all sketches
+_SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+# k-mers of a text that are ordered at a time
 _PIECE = 1 << 16
 
 
-def sketch_keys(hs: np.ndarray) -> np.ndarray:
-    """The Order-MinHash keys of a text with word hashes ``hs``."""
-    if not len(hs):
+def kmers(body: bytes) -> np.ndarray:
+    """Hashes of the k-mers of a ``normal`` text, in text order."""
+    hs = word_hashes(body)
+    return shingles(hs, min(SHINGLE_WORDS, len(hs))) if len(hs) else hs
+
+
+def sketch_keys(mers: np.ndarray) -> np.ndarray:
+    """The Order-MinHash keys of a sequence of k-mers (none: no keys)."""
+    if not len(mers):
         return np.empty(0, np.uint64)
-    kmers = shingles(hs, min(SHINGLE_WORDS, len(hs)))
-    order = np.argsort(kmers, kind="stable")
-    s = kmers[order]
-    first = np.concatenate([[True], s[1:] != s[:-1]])
+    order = np.argsort(mers, kind="stable")
+    s = mers[order]
     at = np.arange(len(s))
     label = np.empty(len(s), np.uint64)
-    label[order] = at - np.maximum.accumulate(np.where(first, at, 0))
-    labelled = kmers + mix(label + np.uint64(1))
-    n = min(PICKED, len(kmers))
-    best = np.empty((SKETCHES, 0), np.int64)
-    for p in range(0, len(kmers), _PIECE):
-        near = np.concatenate([best, np.tile(np.arange(p, min(p + _PIECE, len(kmers))), (SKETCHES, 1))], axis=1)
-        h = mix(labelled[near] ^ _SEEDS[:, None])
-        m = min(n, near.shape[1])
-        pick = np.argpartition(h, m - 1, axis=1)[:, :m]
-        best = np.take_along_axis(near, pick, axis=1)
+    label[order] = at - np.maximum.accumulate(np.where(np.concatenate([[True], s[1:] != s[:-1]]), at, 0))
+    repeats = label > 0
+    labelled = mers.copy()
+    labelled[repeats] = mix(labelled[repeats] + label[repeats])
+    every, n = np.arange(SKETCHES), min(PICKED, len(mers))
+    best = np.zeros((SKETCHES, 0), np.int64)
+    for p in range(0, len(mers), _PIECE):
+        piece = labelled[p:p + _PIECE]
+        # an order of the (already mixed) k-mers for each odd multiplier
+        h = np.concatenate([labelled[best] * _SEEDS[:, None], piece * _SEEDS[:, None]], axis=1)
+        picks = []
+        for _ in range(min(n, h.shape[1])):
+            picks.append(h.argmin(1))
+            h[every, picks[-1]] = np.uint64(0xFFFFFFFFFFFFFFFF)
+        pick, old = np.stack(picks, axis=1), best.shape[1]
+        known = np.take_along_axis(best, np.minimum(pick, old - 1), axis=1) if old else pick
+        best = np.where(pick < old, known, pick - old + p)
     best.sort(axis=1)
     key = _SEEDS.copy()
     for j in range(best.shape[1]):
-        key = mix(key ^ kmers[best[:, j]])
+        key = mix(key ^ mers[best[:, j]])
     return key
 
 
-def histogram(hs: np.ndarray) -> np.ndarray:
-    return np.bincount((hs >> np.uint64(58)).astype(np.int64), minlength=BINS)
-
-
-def edit_distance(a: list[str], b: list[str], most: int) -> int | None:
+def edit_distance(a: list[bytes], b: list[bytes], most: int) -> int | None:
     """Edit distance of two word lists if it is at most ``most``, else None.
 
     Common ends are dropped; the alignment is confined to a band of diagonals
@@ -96,7 +101,7 @@ def edit_distance(a: list[str], b: list[str], most: int) -> int | None:
         a, b = a[:-1], b[:-1]
     if not a or not b:
         return len(a) + len(b)
-    where: dict[str, int] = defaultdict(int)
+    where: dict[bytes, int] = defaultdict(int)
     for r, w in enumerate(a):
         where[w] |= 1 << r
     band = max(8, abs(len(a) - len(b)))
@@ -110,7 +115,7 @@ def edit_distance(a: list[str], b: list[str], most: int) -> int | None:
         band *= 4
 
 
-def _in_band(where: dict[str, int], m: int, b: list[str], t: int) -> int:
+def _in_band(where: dict[bytes, int], m: int, b: list[bytes], t: int) -> int:
     """Distance along paths within ``t`` diagonals; right if it is at most ``t``."""
     ones = (1 << (2 * t + 1)) - 1
     vp, vn, top, score = (ones >> t) << t, 0, 2 * t, t
@@ -130,7 +135,7 @@ def _in_band(where: dict[str, int], m: int, b: list[str], t: int) -> int:
     return score - (vp & rows).bit_count() + (vn & rows).bit_count()
 
 
-def similarity(a: list[str], b: list[str], threshold: float = SIMILARITY) -> float | None:
+def similarity(a: list[bytes], b: list[bytes], threshold: float = SIMILARITY) -> float | None:
     """Edit similarity of two word lists if it reaches ``threshold``."""
     longer = max(len(a), len(b))
     if not longer:
@@ -141,66 +146,39 @@ def similarity(a: list[str], b: list[str], threshold: float = SIMILARITY) -> flo
 
 def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        keys, sizes, bins = [], [], []
-        for t in b.column("text"):
-            hs = word_hashes(words(t.as_py()))
-            keys.append(sketch_keys(hs).view(np.int64))
-            sizes.append(len(hs))
-            bins.append(histogram(hs))
-        yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), b.column("digest"), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64())),
-             pa.array(bins, pa.list_(pa.int32()))], ["doc_id", "digest", "words", "keys", "bins"])
+        keys = [sketch_keys(kmers(normal(t.as_py()))).view(np.int64) for t in b.column("text")]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("digest"), pa.array(keys, pa.list_(pa.int64()))],
+                                         ["doc_id", "digest", "keys"])
 
 
 def _verify_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    last: tuple[bytes | None, list[str]] = (None, [])
+    """Similarity of each pair; where it is too low, the keys of a's k-mers that b hasn't."""
+    last: tuple[bytes | None, bytes] = (None, b"")
     for b in batches:
-        got = []
+        got, keys = [], []
         for i in range(b.num_rows):
-            y = b.column("b")[i].as_py()
-            if last[0] != y:
-                last = (y, words(b.column("text_b")[i].as_py()))
-            got.append(similarity(words(b.column("text_a")[i].as_py()), last[1]))
-        yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(got, pa.float64())], ["a", "b", "similarity"])
+            leader = b.column("b")[i].as_py()
+            if last[0] != leader:
+                last = (leader, normal(b.column("text_b")[i].as_py()))
+            own = normal(b.column("text_a")[i].as_py())
+            got.append(similarity(own.split(), last[1].split()))
+            rest = None
+            if got[-1] is None:
+                mers = kmers(own)
+                rest = sketch_keys(mers[~np.isin(mers, kmers(last[1]))]).view(np.int64)
+            keys.append(rest)
+        yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(got, pa.float64()), pa.array(keys, pa.list_(pa.int64()))],
+                                         ["a", "b", "similarity", "keys"])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) of digests with their similarity (null below 0.8)."""
+    """``pairs`` (a, b) of digests with their similarity, and the keys for the next round where it is below 0.8."""
     need = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
     some = cut(texts.join(need, "digest", "left_semi").dropDuplicates(["digest"]))
     wide = (pairs.join(some.select(F.col("digest").alias("a"), F.col("text").alias("text_a")), "a")
             .join(some.select(F.col("digest").alias("b"), F.col("text").alias("text_b")), "b"))
-    return cut(wide.select("a", "b", "text_a", "text_b").mapInArrow(_verify_rows, "a binary, b binary, similarity double"))
-
-
-def _rest_pairs(hits: DataFrame, failed: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs not yet connected between a text that failed against its key's leader and any text of that key."""
-    own = F.coalesce("label", "digest")
-    bad = cut(hits.join(failed, ["digest", "leader"]).join(labels.withColumnRenamed("node", "digest"), "digest", "left")
-              .withColumn("own", own).drop("label").join(labels.select(F.col("node").alias("leader"), F.col("label")), "leader", "left")
-              .filter(F.col("own") != F.coalesce("label", "leader")).select("key", "digest", "own"))
-    bad_n = bad.groupBy("key").agg(F.count("*").alias("bad"))
-    members = hits.select("key", "digest").join(bad_n, "key")
-    leaders = hits.select("key", F.col("leader").alias("digest")).distinct().join(bad_n, "key")
-    members = members.union(leaders.select(*members.columns))
-    size = members.groupBy("key").agg(F.count("*").alias("all"))
-    of = reps.select("digest", "words", "bins")
-    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
-    dealt = lambda n: F.pmod(F.xxhash64("digest"), n).cast("int")
-    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    left = (bad.join(bad_n, "key").join(size, "key").join(of, "digest")
-            .withColumn("i", dealt(blocks("bad"))).withColumn("j", each(blocks("all"))))
-    right = (members.join(size, "key").join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn("own", own)
-             .join(of, "digest").withColumn("j", dealt(blocks("all"))).withColumn("i", each(blocks("bad"))))
-    right = right.select("key", "i", "j", F.col("digest").alias("other"), F.col("own").alias("other_own"),
-                         F.col("words").alias("other_words"), F.col("bins").alias("other_bins"))
-    longer, most = F.greatest("words", "other_words"), F.lit(1 - SIMILARITY)
-    more = F.aggregate(F.zip_with("bins", "other_bins", lambda x, y: F.greatest(x - y, F.lit(0))), F.lit(0), lambda s, x: s + x)
-    apart = F.greatest(more, more + F.col("other_words") - F.col("words"))
-    near = ((F.col("own") != F.col("other_own")) & (longer - F.least("words", "other_words") <= most * longer + 1e-9)
-            & (apart <= most * longer + 1e-9))
-    found = left.join(right, ["key", "i", "j"]).filter(near)
-    return cut(found.select(F.least("digest", "other").alias("a"), F.greatest("digest", "other").alias("b")).distinct())
+    return cut(wide.select("a", "b", "text_a", "text_b").mapInArrow(
+        _verify_rows, "a binary, b binary, similarity double, keys array<long>"))
 
 
 def _classes(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -209,22 +187,21 @@ def _classes(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     t = F.col(text).cast("string")
     texts = documents.filter(t.isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"),
                                                    F.unhex(F.md5(t.cast("binary"))).alias("digest"), t.alias("text"))
-    rows = cut(texts.mapInArrow(_sketch_rows, "doc_id long, digest binary, words int, keys array<long>, bins array<int>"))
-    reps = rows.groupBy("digest").agg(*[F.first(c).alias(c) for c in ("words", "keys", "bins")])
-    keys = cut(reps.select("digest", F.explode("keys").alias("key")))
-    leaders = keys.groupBy("key").agg(F.min("digest").alias("leader"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    hits = cut(keys.join(leaders, "key").filter(F.col("digest") != F.col("leader")).select("key", "digest", "leader"))
-    pairs = cut(hits.select(F.col("digest").alias("a"), F.col("leader").alias("b")).distinct())
-    tried = _verified(pairs, texts.select("digest", "text"))
-    links = tried.filter(F.col("similarity").isNotNull()).select("a", "b")
+    rows = cut(texts.mapInArrow(_sketch_rows, "doc_id long, digest binary, keys array<long>"))
+    keys = rows.groupBy("digest").agg(F.first("keys").alias("keys")).select("digest", F.explode("keys").alias("key"))
+    links = None
+    while True:
+        leaders = keys.groupBy("key").agg(F.min("digest").alias("b"), F.max("digest").alias("most")).filter("b != most").drop("most")
+        pairs = keys.join(leaders, "key").filter(F.col("digest") != F.col("b")).select(F.col("digest").alias("a"), "b").distinct()
+        pairs = cut(pairs if links is None else pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti"))
+        if links is not None and not pairs.limit(1).count():
+            break
+        tried = _verified(pairs, texts.select("digest", "text"))
+        found = tried.filter(F.col("similarity").isNotNull()).select("a", "b")
+        links = found if links is None else links.union(found)
+        # the keys of a text's rest differ from those of its whole, so they meet each other only
+        keys = cut(tried.filter(F.col("similarity").isNull()).select(F.col("a").alias("digest"), F.explode("keys").alias("key")).distinct())
     labels = components(links, spark)
-    failed = tried.filter(F.col("similarity").isNull()).select(F.col("a").alias("digest"), F.col("b").alias("leader"))
-    if failed.limit(1).count():
-        more = _rest_pairs(hits, failed, labels, cut(reps.drop("keys")))
-        if more.limit(1).count():
-            found = _verified(more, texts.select("digest", "text")).filter(F.col("similarity").isNotNull()).select("a", "b")
-            if found.limit(1).count():
-                labels = components(links.union(found), spark)
     out = rows.select("doc_id", "digest").join(labels.withColumnRenamed("node", "digest"), "digest", "left")
     return out.select("doc_id", "digest", F.coalesce("label", "digest").alias("label"))
 
