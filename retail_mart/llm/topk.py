@@ -1,16 +1,16 @@
 """Exact top-k inner-product search over an impact-ordered index, score at a time.
 
 Components become integers floor(scale * x). The index is cut into blocks of
-vectors; a block holds, for every dimension, postings sorted by value and cut
-into segments by quantised value. For a query, a posting's impact is its
-contribution's distance from the worst contribution of its dimension, so
-impacts are never negative. Segments of all dimensions are processed by
-descending quantised impact; a vector's accumulator holds the contributions
-seen so far, and what it may still gain is at most the sum over the
-dimensions of the next unprocessed impact. Processing stops only when at most
-a small part of the block can still reach the k-th best accumulator; those
-possible members are rescored with exact integer products. Without such a
-proof all segments are processed, and the bound is exact.
+vectors. A posting's impact is its component's distance from the lowest
+component of its dimension (for positive query weights) or from the highest
+(for negative ones), so impacts are never negative; a block's postings are
+cut into segments of equal quantised impact. Segments are processed by
+descending impact, for a group of queries at once: a vector's accumulator
+holds the weighted impacts seen so far, and what it may still gain is at most
+the query's weights times the largest unprocessed impacts. A query stops only
+when at most a small part of the block can still reach the k-th best
+accumulator; those possible members are rescored with exact integer products.
+Without such a proof all segments are processed, and the bound is exact.
 
 Edge cases: vectors that are null, empty or hold null or non-finite
 components, and rows with a null id, take no part; vectors of different
@@ -31,74 +31,66 @@ from pyspark.sql import functions as F
 
 from retail_mart.llm.common import cut
 
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 4096
 QUERY_BLOCK = 2048
 LEVELS = 8
+# Queries whose accumulators are held at once.
+GROUP = 256
 # Fewer possible members than this part of a block are rescored.
 SMALL_PART = 1 / 16
 
 
 class ImpactIndex:
-    """Postings of one block of vectors: per dimension in ascending value, cut into LEVELS quantised segments."""
+    """The postings of one block of vectors, in LEVELS segments of equal quantised impact."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.v = ids, vectors.astype(np.int64)
         self.low, self.high = self.v.min(0), self.v.max(0)
-        self.step = np.maximum(1, -(-(self.high - self.low + 1) // LEVELS))
-        self.order = np.argsort(self.v, axis=0, kind="stable").T.copy()  # dimension x postings
-        level = (self.v - self.low) // self.step
-        dims = self.v.shape[1]
-        ends = np.zeros((dims, LEVELS + 1), np.int64)
-        for d in range(dims):
-            ends[d, 1:] = np.cumsum(np.bincount(level[:, d], minlength=LEVELS))
-        self.ends = ends
-
-    def top(self, q: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and exact scores of the k best rows other than the query's own, ties to smaller ids."""
-        n, dims = self.v.shape
-        lv = np.arange(LEVELS)
-        # most that a posting of a level can give above its dimension's worst contribution
-        reach = np.abs(q)[:, None] * np.minimum((lv + 1) * self.step[:, None] - 1, (self.high - self.low)[:, None])
-        filled = self.ends[:, 1:] > self.ends[:, :-1]
-        # q < 0: small values are the good ones
-        backwards = q < 0
-        gain = np.where(backwards[:, None], np.abs(q)[:, None] * np.maximum(0, (self.high - self.low)[:, None] - lv * self.step[:, None]), reach)
-        worst = np.where(backwards, self.high, self.low) * q
-        dim, lev = np.nonzero(filled & (q != 0)[:, None])
-        impact = gain[dim, lev]
-        # descending impact; within a dimension the levels keep their order
-        order = np.lexsort((np.where(backwards[dim], lev, -lev), dim, -impact))
-        dim, lev, impact = dim[order], lev[order], impact[order]
-        acc = np.full(n, worst.sum())
-        mine = self.ids == own
-        others = n - int(mine.sum())
-        if not others:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        k = min(k, others)
-        left = np.array([gain[d][filled[d]].max() if q[d] else 0 for d in range(dims)])
-        pending = [gain[d][filled[d]] for d in range(dims)]
-        pending = [np.sort(p)[::-1] for p in pending]
-        done = np.zeros(dims, np.int64)
-        possible = ~mine
-        checks = np.unique(np.linspace(len(dim) // 4, len(dim), 8).astype(int))
-        at = 0
-        for stop in checks:
-            for d, lvl in zip(dim[at:stop], lev[at:stop], strict=True):
-                rows = self.order[d, self.ends[d, lvl]:self.ends[d, lvl + 1]]
-                acc[rows] += q[d] * self.v[rows, d] - worst[d]
-            np.add.at(done, dim[at:stop], 1)
-            at = stop
-            for d in np.unique(dim[:stop]):
-                left[d] = pending[d][done[d]] if done[d] < len(pending[d]) else 0
-            alive = np.flatnonzero(~mine)
-            bar = np.partition(acc[alive], len(alive) - k)[len(alive) - k]
-            possible = ~mine & (acc + left.sum() >= bar)
-            if possible.sum() <= max(k, SMALL_PART * n):
+        span = np.concatenate([self.high - self.low] * 2)
+        step = np.maximum(1, -(-(span + 1) // LEVELS))
+        # impacts for positive weights, then for negative ones
+        impact = np.concatenate([self.v - self.low, self.high - self.v], axis=1)
+        level = impact // step
+        # sums stay below 2^53, so doubles are exact
+        self.segments = [np.where(level == x, impact, 0).astype(np.float64).T for x in range(LEVELS)]
+        self.reach = [np.minimum((x + 1) * step - 1, span).astype(np.float64) for x in range(LEVELS)]
+
+    def top(self, q: np.ndarray, k: int, own: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per query (row of q): ids and exact scores of the k best rows but its own, ties to smaller ids."""
+        out = []
+        for at in range(0, len(q), GROUP):
+            out += self._group(q[at:at + GROUP], k, own[at:at + GROUP])
+        return out
+
+    def _group(self, q: np.ndarray, k: int, own: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        weights = np.concatenate([np.maximum(q, 0), np.maximum(-q, 0)], axis=1).astype(np.float64)
+        worst = np.maximum(q, 0) @ self.low - np.maximum(-q, 0) @ self.high
+        acc = np.repeat(worst.astype(np.float64)[:, None], len(self.ids), axis=1)
+        acc[self.ids == own[:, None]] = -np.inf
+        found: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64),) * 2] * len(q)
+        left = np.arange(len(q))
+        for x in reversed(range(LEVELS)):
+            acc[left] += weights[left] @ self.segments[x]
+            more = weights[left] @ self.reach[x - 1] if x else np.zeros(len(left))
+            going = []
+            for i, gain in zip(left, more, strict=True):
+                others = int(np.isfinite(acc[i]).sum())
+                n = min(k, others)
+                if not n:
+                    continue
+                bar = np.partition(acc[i], len(self.ids) - n)[len(self.ids) - n]
+                possible = np.flatnonzero(acc[i] + gain >= bar)
+                possible = possible[np.isfinite(acc[i, possible])]
+                if x and len(possible) > max(n, SMALL_PART * len(self.ids)):
+                    going.append(i)
+                    continue
+                score = self.v[possible] @ q[i]
+                best = np.lexsort((self.ids[possible], -score))[:n]
+                found[i] = self.ids[possible][best], score[best]
+            left = np.array(going, np.int64)
+            if not len(left):
                 break
-        rows = np.flatnonzero(possible)
-        score = self.v[rows] @ q
-        best = np.lexsort((self.ids[rows], -score))[:k]
-        return self.ids[rows][best], score[best]
+        return found
 
 
 def quantised(embedding: Column, scale: int) -> Column:
@@ -142,9 +134,9 @@ def top_k(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", embeddin
             flat = lambda t: np.asarray(t.column("v").combine_chunks().flatten()).reshape(t.num_rows, -1)
             order = np.argsort(np.asarray(table.column("vec_id")), kind="stable")
             ix = ImpactIndex(np.asarray(table.column("vec_id"))[order], flat(table)[order])
-            for own, x in zip(queries.column("vec_id").to_pylist(), flat(queries), strict=True):
-                ids, score = ix.top(x, k, own)
-                q += [own] * len(ids)
+            own = np.asarray(queries.column("vec_id"))
+            for one, (ids, score) in zip(own.tolist(), ix.top(flat(queries), k, own), strict=True):
+                q += [one] * len(ids)
                 v.append(ids)
                 s.append(score)
         none = np.empty(0, np.int64)
