@@ -183,27 +183,31 @@ def with_roles(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
                      F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     p = p.withColumn("d", F.sha1(F.col("html").cast("binary")))
     n = p.filter(F.octet_length("html") >= min_bytes).groupBy("d", "page_id").agg(F.count("*").alias("n"))
-    best = n.groupBy("d").agg(F.max(F.struct("page_id", "n")).alias("best"))
+    best = cut(n.groupBy("d").agg(F.max(F.struct("page_id", "n")).alias("best")))
     j = p.join(best, "d", "left").withColumn("wins", F.col("page_id").eqNullSafe(F.col("best.page_id")))
     only = F.col("best").isNull() | ~F.col("wins") | (F.col("best.n") == 1)
     response = F.col("best").isNull() | F.col("wins")
     plain = j.filter(only).withColumn("record_type", F.when(response, "response").otherwise("revisit"))
+    cols = ["page_id", "url", "html", "record_type",
+            F.when(F.col("record_type") == "revisit", F.col("best.page_id")).alias("refers_to")]
+    if not best.filter(F.col("best.n") > 1).limit(1).count():
+        return plain.select(*cols)
     # equal rows of the response's id: one of them is the response
     w = Window.partitionBy("d").orderBy("url")
     equal = (j.filter(~only).groupBy("d", "page_id", "url", "html", "best").agg(F.count("*").alias("times"))
              .withColumn("place", F.row_number().over(w))
              .withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
              .withColumn("record_type", F.when((F.col("place") == 1) & (F.col("k") == 1), "response").otherwise("revisit")))
-    cols = ["page_id", "url", "html", "record_type",
-            F.when(F.col("record_type") == "revisit", F.col("best.page_id")).alias("refers_to")]
     return plain.select(*cols).union(equal.select(*cols))
 
 
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
     """Write the archives below ``folder``; the manifest (path, records, bytes), itself stored."""
     html = F.col("html").cast("string")
-    sample = (pages.filter((F.octet_length(html) <= SAMPLE_BYTES) & (html != "")).select(F.sha1(html.cast("binary")).alias("d"), html.alias("html"))
-              .orderBy("d").limit(SAMPLE_PAGES).collect())
+    some = pages.filter((F.octet_length(html) <= SAMPLE_BYTES) & (html != "")).select(F.sha1(html.cast("binary")).alias("d"), html.alias("html"))
+    # digests first, then the few texts: no task sends more than SAMPLE_PAGES digests
+    last = some.select("d").distinct().orderBy("d").limit(SAMPLE_PAGES).agg(F.max("d").alias("d")).first().d
+    sample = some.filter(F.col("d") <= last).distinct().orderBy("d").collect() if last else []
     dictionary = train([r.html.encode() for r in sample]) if sample else b""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
