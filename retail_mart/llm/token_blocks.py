@@ -37,6 +37,29 @@ def _widths(x: np.ndarray) -> np.ndarray:
     return np.frexp(x.astype(np.float64))[1]
 
 
+def _pack(x: np.ndarray, w: int) -> np.ndarray:
+    """Rows of BLOCK values at ``w`` bits each, lowest bit first, as bytes; lane by lane over all rows."""
+    lanes = np.ascontiguousarray(x.T.astype(np.uint64)) & np.uint64((1 << w) - 1)
+    out = np.zeros((BLOCK * w // 64, x.shape[0]), np.uint64)
+    for j in range(BLOCK):
+        word, shift = divmod(j * w, 64)
+        out[word] |= lanes[j] << np.uint64(shift)
+        if shift + w > 64:
+            out[word + 1] |= lanes[j] >> np.uint64(64 - shift)
+    return np.ascontiguousarray(out.T).astype("<u8").view(np.uint8)
+
+
+def _unpack(b: np.ndarray, w: int) -> np.ndarray:
+    words = np.ascontiguousarray(np.ascontiguousarray(b).view("<u8").T)
+    out = np.empty((BLOCK, words.shape[1]), np.uint64)
+    for j in range(BLOCK):
+        word, shift = divmod(j * w, 64)
+        out[j] = words[word] >> np.uint64(shift)
+        if shift + w > 64:
+            out[j] |= words[word + 1] << np.uint64(64 - shift)
+    return (out & np.uint64((1 << w) - 1)).T.astype(np.int64)
+
+
 def encode_blocks(ids: np.ndarray, percentile: float = PERCENTILE) -> tuple[bytes, np.ndarray]:
     """Coded blocks of ``ids`` (uint32), and the length in bytes of each."""
     if not len(ids):
@@ -48,29 +71,26 @@ def encode_blocks(ids: np.ndarray, percentile: float = PERCENTILE) -> tuple[byte
     low = x.min(1)
     diff = x - low[:, None]
     rank = min(BLOCK - 1, int(np.ceil(percentile * BLOCK)) - 1)
-    width = _widths(np.partition(diff, rank, axis=1)[:, rank])
-    patch = _widths(diff) > width[:, None]
+    width = _widths(np.partition(diff, rank, axis=1)[:, rank]).astype(np.int64)
+    patch = diff >> width[:, None] > 0
     patch &= np.arange(BLOCK) < counts[:, None]
+    n = patch.sum(1)
     head = np.zeros(nb, HEAD)
-    head["low"], head["width"], head["exceptions"], head["count"] = low, width, patch.sum(1), counts
-    packed: list[bytes] = [b""] * nb
-    for w in np.unique(width[width > 0]):
+    head["low"], head["width"], head["exceptions"], head["count"] = low, width, n, counts
+    sizes = HEAD.itemsize + BLOCK // 8 * width + PATCH.itemsize * n
+    starts = np.cumsum(sizes) - sizes
+    out = np.zeros(int(sizes.sum()), np.uint8)
+    out[starts[:, None] + np.arange(HEAD.itemsize)] = head.view(np.uint8).reshape(-1, HEAD.itemsize)
+    for w in np.unique(width[width > 0]).tolist():
         rows = np.flatnonzero(width == w)
-        bits = ((diff[rows, :, None] >> np.arange(w)) & 1).astype(np.uint8)
-        for r, p in zip(rows, np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little"), strict=True):
-            packed[r] = p.tobytes()
-    out, sizes = [], np.empty(nb, np.int64)
-    for k in range(nb):
-        tail = b""
-        if head["exceptions"][k]:
-            at = np.flatnonzero(patch[k])
-            p = np.empty(len(at), PATCH)
-            p["at"], p["diff"] = at, diff[k, at]
-            tail = p.tobytes()
-        b = head[k].tobytes() + packed[k] + tail
-        out.append(b)
-        sizes[k] = len(b)
-    return b"".join(out), sizes
+        out[starts[rows][:, None] + HEAD.itemsize + np.arange(BLOCK // 8 * w)] = _pack(diff[rows], w)
+    row, at = np.nonzero(patch)
+    p = np.zeros(len(row), PATCH)
+    p["at"], p["diff"] = at, diff[row, at]
+    place = np.arange(len(row)) - (np.cumsum(n) - n)[row]
+    begin = starts[row] + HEAD.itemsize + BLOCK // 8 * width[row] + PATCH.itemsize * place
+    out[begin[:, None] + np.arange(PATCH.itemsize)] = p.view(np.uint8).reshape(-1, PATCH.itemsize)
+    return out.tobytes(), sizes
 
 
 def decode_blocks(raw: bytes, starts: np.ndarray) -> np.ndarray:
@@ -80,16 +100,15 @@ def decode_blocks(raw: bytes, starts: np.ndarray) -> np.ndarray:
     b = np.frombuffer(raw, np.uint8)
     head = b[starts[:, None] + np.arange(HEAD.itemsize)].copy().view(HEAD).ravel()
     out = np.zeros((len(starts), BLOCK), np.int64)
-    width = head["width"].astype(np.int64)
-    for w in np.unique(width[width > 0]):
+    width, n = head["width"].astype(np.int64), head["exceptions"].astype(np.int64)
+    for w in np.unique(width[width > 0]).tolist():
         rows = np.flatnonzero(width == w)
-        p = b[starts[rows][:, None] + HEAD.itemsize + np.arange(BLOCK // 8 * w)]
-        bits = np.unpackbits(p, axis=1, bitorder="little").reshape(len(rows), BLOCK, w)
-        out[rows] = bits @ (np.int64(1) << np.arange(w, dtype=np.int64))
-    for k in np.flatnonzero(head["exceptions"]):
-        at = starts[k] + HEAD.itemsize + BLOCK // 8 * width[k]
-        p = np.frombuffer(raw, PATCH, int(head["exceptions"][k]), int(at))
-        out[k, p["at"]] = p["diff"]
+        out[rows] = _unpack(b[starts[rows][:, None] + HEAD.itemsize + np.arange(BLOCK // 8 * w)], w)
+    row = np.repeat(np.arange(len(starts)), n)
+    place = np.arange(len(row)) - (np.cumsum(n) - n)[row]
+    begin = starts[row] + HEAD.itemsize + BLOCK // 8 * width[row] + PATCH.itemsize * place
+    p = b[begin[:, None] + np.arange(PATCH.itemsize)].copy().view(PATCH).ravel()
+    out[row, p["at"]] = p["diff"]
     out += head["low"].astype(np.int64)[:, None]
     return out[np.arange(BLOCK) < head["count"][:, None]].astype(np.uint32)
 

@@ -6,9 +6,9 @@ of patched frame-of-reference blocks (``token_blocks``), and a manifest names
 the shards that count: a task that is repeated writes under a new name, and
 what a lost attempt left is in no manifest.
 
-Words between blanks are encoded once and remembered: the tokenizer drops
-white space and splits there, so a text's ids are its blank-separated parts'
-ids in a row. A text holding a special token's string is encoded whole.
+Parts of a text are encoded once and remembered: the tokenizer drops white
+space and splits there, and also where a letter and another sign meet, so a
+text's ids are its parts' ids in a row. A text holding a special token's string is encoded whole.
 
 Edge cases: a null or empty text is its end id alone; repeated rows and equal
 ids are documents of their own; an empty table gives no shards; other columns
@@ -17,6 +17,7 @@ are ignored.
 
 from __future__ import annotations
 
+import struct
 import uuid
 from collections.abc import Iterator
 
@@ -31,9 +32,27 @@ from retail_mart.llm.common import cut, run_dir
 from retail_mart.llm.token_blocks import ShardReader, ShardWriter
 
 END_ID = 1
-# Parts remembered by a worker; the memory is emptied when full, results do not depend on it.
-MEMO = 300_000
+# Parts remembered by a worker, in each of two generations; results do not depend on it.
+MEMO = 600_000
 _BLANKS = bytes.maketrans(b"\n\t\r", b"   ")
+# 1: letters, 2: other signs; digits, blanks, controls and the apostrophe, which may begin a suffix, are 0.
+_KIND = np.array([1 if b >= 128 or chr(b).isalpha() else 2 if 33 <= b < 127 and not chr(b).isalnum() and b != 39 else 0
+                  for b in range(256)], np.int8)
+# Lead and further bytes of U+00C0 to U+017F, all of them letters but two.
+_LATIN = bytes([*range(128), 0xC3, 0xC4, 0xC5, *range(0x80, 0xC0)])
+
+
+def spaced(raw: bytes) -> bytes:
+    """``raw`` with a blank wherever a letter and another sign meet: the
+    tokenizer always splits there. Texts with other characters than ASCII and
+    Latin letters are left as they are."""
+    if raw.translate(None, _LATIN) or b"\xc3\x97" in raw or b"\xc3\xb7" in raw:
+        return raw
+    b = np.frombuffer(raw, np.uint8)
+    kind = _KIND[b]
+    at = np.flatnonzero(kind[1:] + kind[:-1] == 3) + 1
+    at = at[(kind[at] != 0) & (kind[at - 1] != 0)]
+    return np.insert(b, at, 32).tobytes() if len(at) else raw
 
 
 class Encoder:
@@ -45,6 +64,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def ids(self, text: str | None) -> np.ndarray:
         """Ids of the whole text without special tokens, and the end id."""
@@ -52,13 +72,18 @@ class Encoder:
         if any(s in raw for s in self.special):
             own = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         else:
-            parts = raw.translate(_BLANKS).split(b" ")
+            parts = spaced(raw.translate(_BLANKS)).split(b" ")
             if len(self.memo) > MEMO:
-                self.memo.clear()
-            new = list(set(parts).difference(self.memo))
+                self.memo, self.older = {}, self.memo
+            new = []
+            for p in set(parts).difference(self.memo):
+                if (known := self.older.get(p)) is None:
+                    new.append(p)
+                else:
+                    self.memo[p] = known
             if new:
                 coded = self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
-                self.memo.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(new, coded, strict=True))
+                self.memo.update((p, struct.pack(f"<{len(e)}I", *e.ids)) for p, e in zip(new, coded, strict=True))
             own = b"".join(map(self.memo.__getitem__, parts))
         return np.append(np.frombuffer(own, "<u4"), np.uint32(END_ID))
 
