@@ -29,19 +29,25 @@ WEEKLY_COLUMNS = ["warehouse_sk", "item_sk", "sold_wk_sk", "sold_wk_num", "sold_
                   "wks_sply", "low_stock_flg_wk"]
 
 
-def weekly_rollup(daily: DataFrame, since_wk_sk: int | None = None) -> DataFrame:
+def week_bound(date_dim: DataFrame, since_wk_sk: int) -> int:
+    """Smallest day of any (week, year) that has a day on or after the
+    watermark: rows from it on hold those weeks whole, on any calendar. One
+    value, from the calendar alone."""
+    late = date_dim.filter(F.col("d_date_sk") >= F.lit(int(since_wk_sk))).select("wk_num", "yr_num").distinct()
+    row = date_dim.join(late, ["wk_num", "yr_num"]).agg(F.min("d_date_sk").alias("sk")).first()
+    return int(since_wk_sk if row.sk is None else min(row.sk, since_wk_sk))
+
+
+def weekly_rollup(daily: DataFrame, since_wk_sk: int | None = None, bound: int | None = None) -> DataFrame:
     """P5: daily -> (warehouse, item, week, year); keep groups whose first
     sale is on/after the weekly watermark.
 
-    The watermark is the day-0 date of a week, and a calendar week never
-    straddles a day 0 (weeks start on day 0; week 1 without a day 0 is
-    dropped later anyway), so a group's rows are either all before or all
-    on/after it. Filtering the daily rows first is therefore exact, and on
-    the stored, date-partitioned daily table it prunes to the last weeks
-    instead of aggregating the whole history every run.
+    The watermark filters finished groups. ``bound`` (``week_bound``) prunes
+    the scan of the stored, date-partitioned daily table; it cuts no week in two.
     """
     wm = F.lit(int(since_wk_sk or 0))
-    g = daily.filter(F.col("sold_date_sk") >= wm).groupBy(*WEEK_KEYS).agg(
+    rows = daily.filter(F.col("sold_date_sk") >= F.lit(int(bound if bound is not None else 0)))
+    g = rows.groupBy(*WEEK_KEYS).agg(
         F.min("sold_date_sk").alias("first_sold_date_sk"),
         F.sum("daily_qty").alias("qty"),
         F.sum("daily_sales_amt").alias("amt"),
@@ -90,14 +96,22 @@ def inventory_week_totals(inv_weeks: DataFrame) -> DataFrame:
 
 
 def weekly_sales_inventory(daily: DataFrame, inventory: DataFrame, date_dim: DataFrame,
-                           since_wk_sk: int | None = None) -> DataFrame:
+                           since_wk_sk: int | None = None, mode: str = "reference") -> DataFrame:
     """The weekly fact from the daily table, all weeks from the watermark on.
 
-    Inventory dated before the watermark cannot fall in a week on/after it,
-    so it is filtered out before its aggregation (exact, prunes the scan)."""
-    if since_wk_sk:
-        inventory = inventory.filter(F.col("inv_date_sk") >= F.lit(int(since_wk_sk)))
-    return _weekly_fact(weekly_rollup(daily, since_wk_sk), inventory, date_dim)
+    mode="reference" keeps a group whose first sale is on or after the
+    watermark, so on a calendar whose weeks begin before their day 0 a
+    reloaded week that sold earlier is dropped; mode="strict" keeps every
+    week whose day 0 is on or after it. Daily sales and inventory are read
+    from the calendar-derived bound on, which holds those weeks whole."""
+    if mode not in ("reference", "strict"):
+        raise ValueError(mode)
+    if not since_wk_sk:
+        return _weekly_fact(weekly_rollup(daily, since_wk_sk), inventory, date_dim)
+    bound = week_bound(date_dim, since_wk_sk)
+    inventory = inventory.filter(F.col("inv_date_sk") >= F.lit(bound))
+    fact = _weekly_fact(weekly_rollup(daily, since_wk_sk if mode == "reference" else None, bound), inventory, date_dim)
+    return fact if mode == "reference" else fact.filter(F.col("sold_wk_sk") >= F.lit(int(since_wk_sk)))
 
 
 def weekly_sales_inventory_from_feed(catalog_sales: DataFrame, web_sales: DataFrame, inventory: DataFrame,

@@ -81,9 +81,9 @@ def main(argv=None) -> None:
     if a.job == "ingest-inventory":
         res = ingest_inventory(spark, a.raw_root, a.csv)
     elif a.job == "watch-inventory":
-        from retail_mart.session import shared_dir
         from retail_mart.streaming.inventory_files import load_landed_inventory
-        ck = a.checkpoint or shared_dir(spark, "inventory-stream")
+        # beside the table, so that the next start knows what is loaded
+        ck = a.checkpoint or f"{a.raw_root.rstrip('/')}/_inventory_stream"
         load_landed_inventory(spark, a.landing, a.raw_root, ck)
         res = {"inventory": sinks.current_path(spark, f"{a.raw_root.rstrip('/')}/inventory")}
     elif a.job == "copy-dims":
@@ -101,7 +101,7 @@ def main(argv=None) -> None:
         elif a.job == "monthly":
             res = {"monthly_watermark": pl.run_monthly(spark, raw, paths, prog_mode)}
         else:
-            res = pl.run_pipeline(spark, raw, a.mart_root, a.as_of, scd_mode)
+            res = pl.run_pipeline(spark, raw, a.mart_root, a.as_of, scd_mode, prog_mode)
     print(json.dumps(res, default=str))
 
 

@@ -109,8 +109,14 @@ def run_customer(spark: SparkSession, raw: RawInputs, paths: MartPaths, as_of: s
     return snap_path
 
 
-def run_weekly(spark: SparkSession, raw: RawInputs, paths: MartPaths) -> int:
+def _daily(spark: SparkSession, raw: RawInputs, paths: MartPaths):
+    """The stored daily table; missing or empty: no rows."""
     daily = read_daily(spark, paths)
+    return daily if daily is not None else _empty_like(spark, ds.daily_sales(raw.catalog_sales, raw.web_sales, raw.date_dim))
+
+
+def run_weekly(spark: SparkSession, raw: RawInputs, paths: MartPaths) -> int:
+    daily = _daily(spark, raw, paths)
     shape = wi.weekly_sales_inventory(daily, raw.inventory, raw.date_dim)
     existing = read_weekly(spark, paths)
     existing = existing.select(*shape.columns) if existing is not None else _empty_like(spark, shape)
@@ -121,8 +127,9 @@ def run_weekly(spark: SparkSession, raw: RawInputs, paths: MartPaths) -> int:
 
 
 def run_monthly(spark: SparkSession, raw: RawInputs, paths: MartPaths, mode: str = "reference") -> int:
-    daily = read_daily(spark, paths)
+    daily = _daily(spark, raw, paths)
     snap = sinks.read_current(spark, paths.snapshot)
+    snap = snap if snap is not None else scd.empty_snapshot(spark)
     shape = cp.monthly_customer_program(raw.catalog_sales, raw.web_sales, raw.date_dim, snap, 0, 0, mode)
     existing = read_monthly(spark, paths)
     existing = existing.select(*shape.columns) if existing is not None else _empty_like(spark, shape)
@@ -133,11 +140,13 @@ def run_monthly(spark: SparkSession, raw: RawInputs, paths: MartPaths, mode: str
 
 
 def run_pipeline(spark: SparkSession, raw: RawInputs, root: str, as_of: str,
-                 mode: str = "reference") -> dict:
-    """One scheduled run over ``raw`` as delivered on ``as_of``."""
+                 scd_mode: str = "reference", program_mode: str = "reference") -> dict:
+    """One scheduled run over ``raw`` as delivered on ``as_of``; modes are checked before the first write."""
+    if scd_mode not in ("reference", "strict") or program_mode not in ("reference", "documented"):
+        raise ValueError(f"unknown modes {scd_mode!r}, {program_mode!r}")
     paths = MartPaths(root)
     out = {"daily_watermark": run_daily(spark, raw, paths)}
-    out["snapshot"] = run_customer(spark, raw, paths, as_of, mode)
+    out["snapshot"] = run_customer(spark, raw, paths, as_of, scd_mode)
     out["weekly_watermark"] = run_weekly(spark, raw, paths)
-    out["monthly_watermark"] = run_monthly(spark, raw, paths, mode)
+    out["monthly_watermark"] = run_monthly(spark, raw, paths, program_mode)
     return out

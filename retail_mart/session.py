@@ -51,7 +51,11 @@ def shared_dir(spark: SparkSession, sub: str = "") -> str:
         sc = None
     base = sc.getCheckpointDir() if sc is not None else None
     if not base:
-        base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="retail_mart-")
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            if sc is None or not sc.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            base = tempfile.mkdtemp(prefix="retail_mart-")
         if sc is not None:
             sc.setCheckpointDir(base)
             base = sc.getCheckpointDir() or base

@@ -5,15 +5,17 @@
   readers take the newest *complete* one (it has the committer's _SUCCESS
   marker). A failed load leaves the previous version current (quirk Q17).
 * Delete-then-append of the last period is one dynamic partition
-  overwrite: only the partitions present in the new slice are replaced,
-  atomically at job commit. The watermark partition is dropped explicitly
-  when the recomputed slice has no rows for it.
+  overwrite: only the partitions present in the new slice are replaced, each
+  by a rename at job commit. The watermark partition is dropped in a second
+  step when the recomputed slice had no rows for it. Neither is one atomic
+  step; a run that breaks off in between is healed by running it again.
 """
 
 from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,26 +84,29 @@ def replace_partitions(fresh: DataFrame, path: str, partition_cols: list[str],
     partition is still split over several tasks by the spread columns.
     """
     spark = fresh.sparkSession
-    drop_deleted = False
-    if deleted:
-        cond = None
-        for c, v in deleted.items():
-            e = F.col(c) == F.lit(v)
-            cond = e if cond is None else cond & e
-        # does the new slice rewrite the deleted period? (the filter reaches
-        # the raw scan, so this reads one period, not the slice)
-        drop_deleted = fresh.filter(cond).limit(1).count() == 0
+    old = f"{path.rstrip('/')}/{'/'.join(f'{c}={v}' for c, v in deleted.items())}" if deleted else None
+    before = _files(spark, old) if old else set()
     out = fresh.repartitionByRange(*partition_cols, *spread_cols) if spread_cols is not None else fresh
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))
-    if drop_deleted:
-        sub = "/".join(f"{c}={v}" for c, v in deleted.items())
-        delete(spark, f"{path.rstrip('/')}/{sub}")
+    # files of a rewritten partition carry the new job's name
+    if before and _files(spark, old) == before:
+        delete(spark, old)
+
+
+def _files(spark: SparkSession, path: str) -> set[str]:
+    fs, p = _fs(spark, path)
+    return {st.getPath().getName() for st in fs.listStatus(p)} if fs.exists(p) else set()
 
 
 def read_partitioned(spark: SparkSession, path: str, casts: dict[str, str]) -> DataFrame | None:
     """Read a partitioned table, fixing the inferred partition column types."""
     if not exists(spark, path):
         return None
-    df = spark.read.parquet(path)
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None  # only runs without rows were written
     return df.select(*[F.col(c).cast(casts[c]).alias(c) if c in casts else F.col(c) for c in df.columns])

@@ -44,12 +44,12 @@ def daily_incremental(existing: DataFrame, catalog_sales: DataFrame, web_sales:
 
 
 def weekly_incremental(existing: DataFrame, daily: DataFrame, inventory: DataFrame,
-                       date_dim: DataFrame) -> Increment:
-    """Delete the last loaded week, recompute weeks whose first sale is
-    on/after its start."""
+                       date_dim: DataFrame, mode: str = "reference") -> Increment:
+    """Delete the last loaded week, recompute weeks whose first sale
+    (mode="strict": whose day 0) is on/after its start."""
     wm = period_watermark(existing, "sold_wk_sk")
     kept = _delete(existing, F.col("sold_wk_sk") == F.lit(wm))
-    fresh = wi.weekly_sales_inventory(daily, inventory, date_dim, since_wk_sk=wm)
+    fresh = wi.weekly_sales_inventory(daily, inventory, date_dim, since_wk_sk=wm, mode=mode)
     return Increment(kept.unionByName(fresh), fresh, wm, kept, {"sold_wk_sk": wm})
 
 
