@@ -99,7 +99,7 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             mine, m = np.unique(g[target[piece]], return_counts=True)
             t = np.zeros(len(own), np.int64)
             t[np.searchsorted(own, mine)] = m
-            yield pa.RecordBatch.from_arrays([pa.array([block] * len(own)), pa.array(own.astype(np.int64)), pa.array(t), pa.array(n)],
+            yield pa.RecordBatch.from_arrays([pa.array([block] * len(own), pa.string()), pa.array(own.astype(np.int64)), pa.array(t), pa.array(n.astype(np.int64))],
                                              ["block", "gram", "target", "background"])
 
 

@@ -119,14 +119,19 @@ def plan(rows: DataFrame, goals: DataFrame | None = None) -> DataFrame:
             .drop("last", "whole", "inside", "room"))
     # greedy fill, from the largest sizes that fit
     rest = with_source(rows, s.select("source", F.col("upto").alias("_upto"), "left"))
-    rest = rest.filter((F.col("size") > 0) & (F.col("size") <= F.col("left")) & (F.col("_upto").isNull() | (F.col("h") > F.col("_upto"))))
+    rest = rest.filter((F.col("size") > 0) & (F.col("size") < 2 * F.col("left")) & (F.col("_upto").isNull() | (F.col("h") > F.col("_upto"))))
     rest = rest.groupBy("source", "h", "left").agg(F.sum("size").alias("size"), F.max("size").alias("one"))
     some = Window.partitionBy("source", "kind").orderBy("h")
     rest = (rest.withColumn("kind", F.floor(F.log2("one"))).withColumn("place", F.row_number().over(some)).filter(F.col("place") <= 2)
             .groupBy("source", "left").agg(F.sort_array(F.collect_list(F.struct("size", "h")), asc=False).alias("some")))
-    start = F.struct(F.col("left").alias("left"), F.array().cast("array<bigint>").alias("picks"))
-    fits = lambda acc, x: F.when(x["size"] <= acc["left"], F.struct((acc["left"] - x["size"]).alias("left"), F.concat(acc["picks"], F.array(x["h"])).alias("picks"))).otherwise(acc)
-    rest = rest.select("source", F.aggregate("some", start, fits)["picks"].alias("picks"))
+    start = F.struct(F.col("left").alias("left"), F.array().cast("array<bigint>").alias("picks"),
+                     F.lit(None).cast("struct<size:bigint,h:bigint>").alias("spare"))
+    fits = lambda acc, x: F.when(x["size"] <= acc["left"], F.struct(
+        (acc["left"] - x["size"]).alias("left"), F.concat(acc["picks"], F.array(x["h"])).alias("picks"), acc["spare"].alias("spare"))).otherwise(
+        F.struct(acc["left"].alias("left"), acc["picks"].alias("picks"), F.struct(x["size"].alias("size"), x["h"].alias("h")).alias("spare")))
+    # the smallest that did not fit, where going beyond the target comes nearer to it
+    last = lambda acc: F.when(acc["spare"]["size"] < 2 * acc["left"], F.concat(acc["picks"], F.array(acc["spare"]["h"]))).otherwise(acc["picks"])
+    rest = rest.select("source", F.aggregate("some", start, fits, last).alias("picks"))
     return cut(with_source(s.drop("left"), rest, "left").withColumn("picks", F.coalesce("picks", F.array().cast("array<bigint>"))))
 
 
