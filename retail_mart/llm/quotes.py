@@ -86,13 +86,16 @@ def conversations(messages: DataFrame, msg_id: str = "msg_id", scope: str = "sco
     parent = links(parsed).groupBy("msg_id").agg(F.min_by("source", "level").alias("reply_to"))
     tree = cut(parsed.select("msg_id").join(parent, "msg_id", "left").select(
         "msg_id", "reply_to", F.coalesce("reply_to", "msg_id").alias("up"), F.when(F.col("reply_to").isNull(), 0).otherwise(1).cast("long").alias("depth")))
+    # only messages that have not reached their root are joined again
+    done, going = tree.filter("reply_to is null"), tree.filter("reply_to is not null")
     while True:
-        far = tree.select(F.col("msg_id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"))
-        step = tree.join(far, "up").select("msg_id", "reply_to", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"),
-                                           (F.col("next") != F.col("up")).alias("moved"))
-        step = cut(step)
-        tree = step.drop("moved")
-        if not step.filter("moved").limit(1).count():
+        far = done.union(going).select(F.col("msg_id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"))
+        step = cut(going.join(far, "up").select("msg_id", "reply_to", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"),
+                                                (F.col("next") != F.col("up")).alias("moved")))
+        done = done.union(step.filter(~F.col("moved")).drop("moved"))
+        going = step.filter("moved").drop("moved")
+        if not going.limit(1).count():
             break
+    tree = done
     return tree.join(parsed.select("msg_id", "ord", "own"), "msg_id").select(
         "msg_id", "reply_to", F.col("up").alias("root"), "depth", "ord", F.col("own").alias("text"))
