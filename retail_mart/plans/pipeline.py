@@ -9,8 +9,9 @@ cut at each table) and writes with the sinks of ``sources.sinks``:
 * weekly fact, partitioned by sold_wk_sk: last week replaced;
 * monthly programme, partitioned by (c_year, c_month): target month replaced.
 
-A failure anywhere leaves every table at its previous complete state; the
-next run recomputes from the stored watermarks.
+Each step is a write of its own: a failure leaves earlier steps written and
+later ones at their previous state (see ``sources.sinks`` for what a single
+write guarantees); the next run recomputes from the stored watermarks.
 """
 
 from __future__ import annotations
