@@ -115,7 +115,7 @@ def _score_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = len(sizes)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows), pa.array(ids, pa.int64()), pa.array(np.bincount(piece, minlength=n)),
-                 pa.array(np.bincount(piece, loss_t[at], n)), pa.array(np.bincount(piece, loss_b[at], n))],
+                 pa.array(np.bincount(piece, loss_t[at], n).astype(float)), pa.array(np.bincount(piece, loss_b[at], n).astype(float))],
                 ["row", "doc_id", "n", "t", "b"])
 
 
