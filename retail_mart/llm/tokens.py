@@ -20,6 +20,7 @@ from __future__ import annotations
 import struct
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -88,6 +89,12 @@ class Encoder:
         return np.append(np.frombuffer(own, "<u4"), np.uint32(END_ID))
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """A worker's encoder: its tokenizer and memory serve all tasks of that worker."""
+    return Encoder(path)
+
+
 def write_tokens(documents: DataFrame, tokenizer: str, folder: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Write the shards below ``folder``; the manifest (shard, path, documents, tokens), itself stored."""
 
@@ -96,12 +103,12 @@ def write_tokens(documents: DataFrame, tokenizer: str, folder: str, doc_id: str
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         shard = TaskContext.get().partitionId()
-        encoder, out, path = None, None, f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.tkpf"
+        ids, out, path = None, None, f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.tkpf"
         for b in batches:
             for d, body in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 if out is None:
-                    encoder, out = Encoder(tokenizer), ShardWriter(files.create(path))
-                out.add(d, encoder.ids(body.as_py()))
+                    ids, out = encoder(tokenizer).ids, ShardWriter(files.create(path))
+                out.add(d, ids(body.as_py()))
         if out is not None:
             out.close()
             yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [path], "documents": [len(out.docs)], "tokens": [out.tokens]})
