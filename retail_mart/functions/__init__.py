@@ -1,7 +1,7 @@
 """Column expressions shared by the operators (all built-in, JVM side)."""
 
 from retail_mart.functions.money import (  # noqa: F401
-    amount, money_out, ratio6, whole_units, nvl0,
+    amount, ratio6, whole_units,
 )
 from retail_mart.functions.program import membership_tier, promotion_flag  # noqa: F401
 from retail_mart.functions.compare import (  # noqa: F401

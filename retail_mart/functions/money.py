@@ -18,20 +18,11 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def nvl0(x) -> Column:
-    return F.coalesce(_c(x), F.lit(0))
-
-
 def amount(price, quantity) -> Column:
     """price * quantity; NULL when either side is NULL."""
     return _c(price) * _c(quantity)
 
 
-def money_out(x) -> Column:
-    """Exact decimal total -> double."""
-    return _c(x).cast("double")
-
-
 def ratio6(numerator, denominator) -> Column:
     """numerator / denominator rounded HALF_UP to 6 places (decimal(38,6)).
 

@@ -46,6 +46,19 @@ def calendar(date_dim: DataFrame, *cols, where=None) -> DataFrame:
     return small_side(out, CALENDAR_MAX_ROWS, base=date_dim)
 
 
+def check_calendar(date_dim: DataFrame) -> None:
+    """Raise unless every day is in the calendar once and a (week, year) has
+    at most one day 0; one row to the driver, once per DataFrame."""
+    if getattr(date_dim, "_retail_mart_calendar", False):
+        return
+    zero = F.when(F.col("day_of_wk_num") == 0, F.struct("wk_num", "yr_num"))
+    days, distinct, starts, weeks = date_dim.agg(F.count("d_date_sk"), F.countDistinct("d_date_sk"),
+                                                 F.count(zero), F.countDistinct(zero)).first()
+    if days != distinct or starts != weeks:
+        raise ValueError(f"calendar: {days - distinct} repeated days, {starts - weeks} weeks with a second day 0")
+    date_dim._retail_mart_calendar = True
+
+
 def for_report(df: DataFrame) -> DataFrame:
     """Result-set types: exact decimals leave as double, dates as timestamp."""
     out = []

@@ -52,6 +52,16 @@ def _dated(catalog_sales: DataFrame, web_sales: DataFrame, date_dim: DataFrame)
     return feed.join(cal, feed["sold_date_sk"] == cal["d_date_sk"], "inner")
 
 
+def date_bounds(date_dim: DataFrame, year: int, mode: str = "reference") -> tuple[int, int]:
+    """First and last day the programme of ``year`` reads, from the calendar:
+    up to the end of the year, in documented mode from its start on."""
+    day = F.col("d_date_sk")
+    row = date_dim.filter(F.col("yr_num") <= F.lit(int(year))).agg(
+        F.min(F.when(F.col("yr_num") == F.lit(int(year)), day)).alias("start"), F.min(day).alias("lo"), F.max(day).alias("hi")).first()
+    lo = row.start if mode == "documented" else row.lo
+    return (0, -1) if lo is None else (int(lo), int(row.hi))
+
+
 def monthly_customer_metrics(catalog_sales: DataFrame, web_sales: DataFrame,
                              date_dim: DataFrame) -> DataFrame:
     """The reference's window metrics for every (customer, year, month)."""
@@ -82,7 +92,10 @@ def monthly_customer_program(catalog_sales: DataFrame, web_sales: DataFrame, dat
                              mode: str = "reference") -> DataFrame:
     """Programme rows for the customers who bought in (year, month)."""
     yr, mth = F.lit(int(year)), F.lit(int(month))
-    # months after the target year contribute to no metric
+    # sales outside the bounds contribute to no metric; as literals they reach the fact scans
+    lo, hi = date_bounds(date_dim, year, mode)
+    catalog_sales = catalog_sales.filter(F.col("cs_sold_date_sk").between(lo, hi))
+    web_sales = web_sales.filter(F.col("ws_sold_date_sk").between(lo, hi))
     rows = _dated(catalog_sales, web_sales, date_dim).filter(F.col("c_year") <= yr)
     in_target = (F.col("c_year") == yr) & (F.col("c_month") == mth)
     if mode == "reference":

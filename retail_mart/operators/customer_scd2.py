@@ -1,9 +1,10 @@
 """Type-2 customer history (S8, S9, P17) and the customer dimension.
 
-MERGE is not available on Parquet, so each merge is a join:
-* S8 insert-when-not-matched = left anti join on the 18-column condition;
-* S9 update-when-matched = left join on the key, end_date re-stamped where
-  the row changed.
+MERGE is not available on Parquet, so each merge compares rows of one key:
+* S8 insert-when-not-matched: source rows that equal no version on the
+  18-column condition;
+* S9 update-when-matched: versions of the key, end_date re-stamped where the
+  row changed.
 
 mode="reference" reproduces the reference, quirks included: NULL strings and
 a NULL address key never compare equal, so such customers get a new version
@@ -13,16 +14,12 @@ coalesce(x, 0) (Q9); customers missing from the source stay open (Q19).
 mode="strict" compares NULL-safely against the open version only, giving one
 open version per live customer.
 
-Plan choice by a checked size: a source of at most SCD2_BROADCAST_MAX_ROWS
-rows (bounded count) runs the MERGE as two joins the planner broadcasts
-(``_join_apply``); a larger one is unioned with the versions and windowed by
-customer key (``_merge_pass``) -- one shuffle for both merge steps.
+Plan: source rows and versions are unioned and windowed by customer key
+(``_merge_pass``) -- one shuffle for both merge steps, at every size.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +28,7 @@ from retail_mart.operators.common import (
     CODE_TABLE_MAX_ROWS, left_join_spread_nulls, small_side,
 )
 from retail_mart.functions.compare import (
-    COALESCED_COLUMNS, CUSTOMER_COLUMNS, reference_changed, reference_match, strict_changed,
+    CUSTOMER_COLUMNS, reference_changed, reference_match, strict_changed,
 )
 
 SNAPSHOT_COLUMNS = CUSTOMER_COLUMNS + ["start_date", "end_date"]
@@ -107,68 +104,6 @@ def _merge_pass(snapshot: DataFrame, source: DataFrame, mode: str) -> DataFrame:
     return keyed.select(*cols).unionByName(loose.select(*cols))
 
 
-# Source size up to which the merge broadcasts the source instead of
-# shuffling versions and source together (one row per customer, ~150 bytes).
-SCD2_BROADCAST_MAX_ROWS = 200_000
-
-
-def _join_apply(snapshot: DataFrame, source: DataFrame, as_of: str, mode: str):
-    """Small source (size-checked): the MERGE as two joins -- insert = source
-    anti join versions on the 18-column condition (plain equalities, so they
-    are the join keys; the planner picks the strategy from the snapshot's
-    size), update = existing versions left join the broadcast source on the
-    key. Returns (new versions, existing versions after the update)."""
-    if mode not in ("reference", "strict"):
-        raise ValueError(mode)
-    src = source.select(*CUSTOMER_COLUMNS).alias("s")
-    if mode == "reference":
-        cond = reduce(lambda x, y: x & y,
-                      [_coalesced(F.col(f"t.{c}"), c) == _coalesced(F.col(f"s.{c}"), c) for c in CUSTOMER_COLUMNS])
-        new = src.join(snapshot.alias("t"), cond, "left_anti")
-    else:
-        cond = (F.col("s.c_customer_sk") == F.col("t.c_customer_sk")) & ~strict_changed("t", "s")
-        new = src.join(snapshot.filter(F.col("end_date").isNull()).alias("t"), cond, "left_anti")
-    new = _stamp_new(new, as_of)
-    # update: new versions equal their source row and are never closed, so
-    # only the existing versions go through the key join; the source passed
-    # the checked size bound and is the broadcast build side
-    j = snapshot.alias("t").join(F.broadcast(src), F.col("t.c_customer_sk") == F.col("s.c_customer_sk"), "left")
-    present = F.col("s.c_customer_sk").isNotNull()
-    if mode == "reference":
-        hit = present & reference_changed("t", "s")
-    else:
-        hit = present & F.col("t.end_date").isNull() & strict_changed("t", "s")
-    end = F.when(hit, _as_of(as_of)).otherwise(F.col("t.end_date"))
-    closed = j.select(*[F.col(f"t.{c}") for c in CUSTOMER_COLUMNS], F.col("t.start_date"), end.alias("end_date"))
-    return new, closed
-
-
-def _coalesced(col, name: str):
-    return F.coalesce(col, F.lit(0)) if name in COALESCED_COLUMNS else col
-
-
-def _small(source: DataFrame) -> bool:
-    """Size check and, for small sources, the MERGE's key uniqueness rule in
-    one bounded job: rows, non-NULL keys and distinct keys of the first
-    SCD2_BROADCAST_MAX_ROWS + 1 rows. (Large sources are guarded inside the
-    windowed pass instead.)"""
-    memo = getattr(source, "_retail_mart_scd2_profile", None)
-    if memo is None:
-        bound = SCD2_BROADCAST_MAX_ROWS
-        row = (source.limit(bound + 1)
-               .agg(F.count(F.lit(1)), F.count("c_customer_sk"), F.countDistinct("c_customer_sk")).first())
-        memo = (int(row[0]), int(row[1]), int(row[2]))
-        try:
-            source._retail_mart_scd2_profile = memo
-        except AttributeError:
-            pass
-    rows, keys, distinct = memo
-    small = rows <= SCD2_BROADCAST_MAX_ROWS
-    if small and keys != distinct:
-        raise ValueError("customer source has duplicate c_customer_sk")
-    return small
-
-
 def _stamp_new(rows: DataFrame, as_of: str) -> DataFrame:
     return rows.select(*CUSTOMER_COLUMNS, _as_of(as_of).alias("start_date"),
                        F.lit(None).cast("timestamp_ntz").alias("end_date"))
@@ -179,8 +114,6 @@ def scd2_new_versions(snapshot: DataFrame, source: DataFrame, as_of: str,
     """Source rows that get a new version, stamped start=as_of, end=NULL
     (reference: no version equal on all 18 columns; strict: no equal open
     version)."""
-    if _small(source):
-        return _join_apply(snapshot, source, as_of, mode)[0]
     m = _merge_pass(snapshot, source, mode)
     return _stamp_new(m.filter(F.col("__ok") & F.col("__src") & ~F.col("__any_match")), as_of)
 
@@ -188,8 +121,6 @@ def scd2_new_versions(snapshot: DataFrame, source: DataFrame, as_of: str,
 def scd2_close(snapshot: DataFrame, source: DataFrame, as_of: str, mode: str = "reference") -> DataFrame:
     """The snapshot with end_date=as_of on versions whose source row differs
     (reference: any version, closed ones re-stamped; strict: open ones)."""
-    if _small(source):
-        return _join_apply(snapshot, source, as_of, mode)[1]
     m = _merge_pass(snapshot, source, mode).filter(F.col("__ok") & ~F.col("__src"))
     return m.select(*CUSTOMER_COLUMNS, "start_date",
                     F.when(F.col("__hit"), _as_of(as_of)).otherwise(F.col("end_date")).alias("end_date"))
@@ -199,9 +130,6 @@ def scd2_apply(snapshot: DataFrame, source: DataFrame, as_of: str, mode: str = "
     """One run -- insert new versions, then close changed ones, in one
     pass. New versions equal their source row, so the update step of the
     merge never closes them; only existing versions can be closed."""
-    if _small(source):
-        new, closed = _join_apply(snapshot, source, as_of, mode)
-        return closed.unionByName(new)
     m = _merge_pass(snapshot, source, mode)
     # one pass over the merged rows: versions (possibly closed) and source
     # rows that become new versions

@@ -24,6 +24,7 @@ from retail_mart.operators import customer_scd2 as scd
 from retail_mart.operators import daily_sales as ds
 from retail_mart.operators import weekly_inventory as wi
 from retail_mart.operators import customer_program as cp
+from retail_mart.operators.common import check_calendar
 from retail_mart.sources import sinks
 from retail_mart.streaming import incremental as inc
 
@@ -88,6 +89,7 @@ def read_monthly(spark, paths: MartPaths):
 
 
 def run_daily(spark: SparkSession, raw: RawInputs, paths: MartPaths) -> int:
+    check_calendar(raw.date_dim)
     shape = ds.daily_sales(raw.catalog_sales, raw.web_sales, raw.date_dim)
     existing = read_daily(spark, paths)
     existing = existing.select(*shape.columns) if existing is not None else _empty_like(spark, shape)
@@ -117,6 +119,7 @@ def _daily(spark: SparkSession, raw: RawInputs, paths: MartPaths):
 
 
 def run_weekly(spark: SparkSession, raw: RawInputs, paths: MartPaths) -> int:
+    check_calendar(raw.date_dim)
     daily = _daily(spark, raw, paths)
     shape = wi.weekly_sales_inventory(daily, raw.inventory, raw.date_dim)
     existing = read_weekly(spark, paths)
@@ -128,6 +131,7 @@ def run_weekly(spark: SparkSession, raw: RawInputs, paths: MartPaths) -> int:
 
 
 def run_monthly(spark: SparkSession, raw: RawInputs, paths: MartPaths, mode: str = "reference") -> int:
+    check_calendar(raw.date_dim)
     daily = _daily(spark, raw, paths)
     snap = sinks.read_current(spark, paths.snapshot)
     snap = snap if snap is not None else scd.empty_snapshot(spark)

@@ -19,8 +19,9 @@ from retail_mart.operators import profiling as pf
 from retail_mart.operators import reports as rp
 from retail_mart.operators import weekly_inventory as wi
 from retail_mart.operators.common import for_report
+from retail_mart.plans import pipeline as pl
 from retail_mart.session import checkpointed, new_run_dir
-from retail_mart.sources import ingest
+from retail_mart.sources import ingest, sinks
 from retail_mart.sources.fixtures import CUSTOMER_BATCH_DATES, RawTables
 from retail_mart.streaming import incremental as inc
 from retail_mart.streaming.watermark import (
@@ -153,7 +154,7 @@ def q_daily_watermark(spark, sf_dir):
 def q_daily_sales_incremental(spark, sf_dir):
     r = raw(spark, sf_dir)
     cs1, ws1 = raw_until(r, split_day(r))
-    existing = ds.daily_sales(cs1, ws1, r.date_dim())
+    existing = checkpointed(ds.daily_sales(cs1, ws1, r.date_dim()))
     return for_report(inc.daily_incremental(existing, r.catalog_sales(), r.web_sales(), r.date_dim()).table)
 
 
@@ -161,7 +162,7 @@ def q_daily_sales_incremental(spark, sf_dir):
 def q_weekly_sales_inventory_incremental(spark, sf_dir):
     r = raw(spark, sf_dir)
     cs1, ws1 = raw_until(r, split_day(r))
-    existing = wi.weekly_sales_inventory(ds.daily_sales(cs1, ws1, r.date_dim()), r.inventory(), r.date_dim())
+    existing = checkpointed(wi.weekly_sales_inventory_from_feed(cs1, ws1, r.inventory(), r.date_dim()))
     return for_report(inc.weekly_incremental(existing, daily_table(r), r.inventory(), r.date_dim()).table)
 
 
@@ -202,7 +203,8 @@ def program(r: RawTables, cut: int | None = None, mode: str = "reference"):
 @register("monthly_target_period")
 def q_monthly_target_period(spark, sf_dir):
     r = raw(spark, sf_dir)
-    return target_period_frame(r.date_dim(), period_watermark(daily_table(r), "sold_date_sk"))
+    feed = ds.unified_sales(r.catalog_sales(), r.web_sales())  # its last day is the daily table's
+    return target_period_frame(r.date_dim(), period_watermark(feed, "sold_date_sk"))
 
 
 @register("customer_sales")
@@ -251,7 +253,8 @@ def q_monthly_customer_program_incremental(spark, sf_dir):
     r = raw(spark, sf_dir)
     existing = program(r, cut=sales_span(r)[1] - MONTHLY_LAG_DAYS)
     cs, ws = r.catalog_sales(with_customer=True), r.web_sales(with_customer=True)
-    res = inc.monthly_incremental(existing, daily_table(r), cs, ws, r.date_dim(), snapshot_after(r))
+    feed = ds.unified_sales(r.catalog_sales(), r.web_sales())  # its last day is the daily table's
+    res = inc.monthly_incremental(existing, feed, cs, ws, r.date_dim(), snapshot_after(r))
     return for_report(res.table)
 
 
@@ -294,6 +297,48 @@ def q_customer_demographics(spark, sf_dir):
     return rp.demographics_summary(customer_dim_table(raw(spark, sf_dir)))
 
 
+# ------------------------------------------------- scheduled runs with real writes
+def raw_inputs(r: RawTables, batch: int, cut: int | None = None) -> pl.RawInputs:
+    """The raw layer as one run sees it: sales up to ``cut`` and a customer batch."""
+    cs, ws = r.catalog_sales(with_customer=True), r.web_sales(with_customer=True)
+    if cut is not None:
+        cs, ws = cs.filter(F.col("cs_sold_date_sk") <= cut), ws.filter(F.col("ws_sold_date_sk") <= cut)
+    return pl.RawInputs(cs, ws, r.inventory(), r.date_dim(), r.customer(batch), r.customer_address(),
+                        r.customer_demographics(), r.household_demographics(), r.income_band())
+
+
+def mart_runs(spark, sf_dir, *steps: str) -> pl.MartPaths:
+    """The named steps of two scheduled runs in a fresh folder: half of the
+    sales span, then all of it with the next customer batch."""
+    r, paths = raw(spark, sf_dir), pl.MartPaths(new_run_dir(spark, "mart"))
+    for batch, cut in ((1, split_day(r)), (2, None)):
+        inputs = raw_inputs(r, batch, cut)
+        for step in steps:
+            args = [CUSTOMER_BATCH_DATES[batch - 1]] if step == "customer" else []
+            getattr(pl, f"run_{step}")(spark, inputs, paths, *args)
+    return paths
+
+
+@register("mart_runs_weekly")
+def q_mart_runs_weekly(spark, sf_dir):
+    """Two runs of the daily and the weekly task; the stored weekly fact."""
+    paths = mart_runs(spark, sf_dir, "daily", "weekly")
+    return for_report(pl.read_weekly(spark, paths).select(*wi.WEEKLY_COLUMNS))
+
+
+@register("mart_runs_customer_dim")
+def q_mart_runs_customer_dim(spark, sf_dir):
+    """Two runs of the customer task; the current version of the dimension."""
+    return for_report(sinks.read_current(spark, mart_runs(spark, sf_dir, "customer").customer_dim))
+
+
+@register("mart_runs_monthly")
+def q_mart_runs_monthly(spark, sf_dir):
+    """Two runs of the daily, customer and monthly tasks; the stored programme."""
+    paths = mart_runs(spark, sf_dir, "daily", "customer", "monthly")
+    return for_report(pl.read_monthly(spark, paths).select(*cp.PROGRAM_COLUMNS))
+
+
 # --------------------------------------------------------------- profiling
 
 LOOKUP_DAY = "1998-01-01"

@@ -23,8 +23,6 @@ JULIAN_EPOCH = 2440588
 # As-of dates of the three customer batches (SCD-2 fixtures).
 CUSTOMER_BATCH_DATES = ["2001-01-01", "2001-02-01", "2001-03-01"]
 NEW_CUSTOMER_OFFSET = 10 ** 9
-ITEM_CLASSES = 20
-WAREHOUSES = 5
 
 
 def _null_when(cond: Column, value: Column) -> Column:
@@ -111,8 +109,8 @@ class RawTables:
         profit_cents = F.expr("ec * (100 - dp) div 1000 - 9000 * q")
         cols = [
             _null_when(k % 53 == 0, sold).alias(f"{prefix}_sold_date_sk"),
-            (F.col("l_partkey") % ITEM_CLASSES).cast("bigint").alias(f"{prefix}_item_sk"),
-            _null_when(k % 37 == 0, (F.col("l_suppkey") % WAREHOUSES).cast("bigint")).alias(f"{prefix}_warehouse_sk"),
+            F.col("l_partkey").cast("bigint").alias(f"{prefix}_item_sk"),
+            _null_when(k % 37 == 0, F.col("l_suppkey").cast("bigint")).alias(f"{prefix}_warehouse_sk"),
             _null_when(k % 41 == 0, q).alias(f"{prefix}_quantity"),
             _null_when(k % 43 == 0, (price_cents.cast("decimal(18,0)") / 100).cast("decimal(12,2)"))
             .alias(f"{prefix}_sales_price"),
@@ -161,34 +159,33 @@ class RawTables:
         return self._memo("item", self._item)
 
     def _item(self) -> DataFrame:
-        """One item per item class (l_partkey % 20); named after its lowest part key."""
-        p = self.given("part").select("p_partkey", "p_name", "p_type")
-        return (p.groupBy((F.col("p_partkey") % ITEM_CLASSES).cast("bigint").alias("i_item_sk"))
-                .agg(F.min_by("p_name", "p_partkey").alias("i_product_name"),
-                     F.min_by("p_type", "p_partkey").alias("i_item_desc")))
+        """One item per part."""
+        return self.given("part").select(F.col("p_partkey").cast("bigint").alias("i_item_sk"),
+                                         F.col("p_name").alias("i_product_name"), F.col("p_type").alias("i_item_desc"))
 
     def warehouse(self) -> DataFrame:
         return self._memo("warehouse", self._warehouse)
 
     def _warehouse(self) -> DataFrame:
-        s = self.given("supplier").select("s_suppkey")
-        return s.select((F.col("s_suppkey") % WAREHOUSES).cast("bigint").alias("w_warehouse_sk")).distinct()
+        """One warehouse per supplier."""
+        return self.given("supplier").select(F.col("s_suppkey").cast("bigint").alias("w_warehouse_sk")).distinct()
 
     def inventory(self) -> DataFrame:
-        """Weekly stock counts: item x warehouse on each Sunday, plus Wednesdays for item 7."""
-        # Item classes 0..ITEM_CLASSES-1 and warehouses 0..WAREHOUSES-1 follow from
-        # the sales key rules (l_partkey % 20, l_suppkey % 5); the grid is
-        # generated per calendar row by explode, with no join.
-        grid = (self.date_dim().select("d_date_sk", "day_of_wk_num")
-                .filter(F.col("day_of_wk_num").isin(0, 3))
-                .select("*", F.explode(F.sequence(F.lit(0), F.lit(ITEM_CLASSES - 1))).alias("i"))
-                .select("*", F.explode(F.sequence(F.lit(0), F.lit(WAREHOUSES - 1))).alias("w")))
+        """Weekly stock counts of what a warehouse sells: each (part, supplier)
+        pair on the Sunday of each week it ships in, some left out, and again
+        on the Wednesday for every 20th part."""
+        sk = date_sk("l_shipdate")
+        pairs = self.given("lineitem").select(
+            F.col("l_partkey").cast("bigint").alias("i"), F.col("l_suppkey").cast("bigint").alias("w"),
+            (sk - (sk + 1) % 7).alias("sunday")).distinct()
+        days = F.when(F.col("i") % 20 == 7, F.array(F.lit(0), F.lit(3))).otherwise(F.array(F.lit(0)))
+        rows = (pairs.select("i", "w", "sunday", F.explode(days).alias("dow"))
+                .select("i", "w", "dow", (F.col("sunday") + F.col("dow")).alias("d_date_sk")))
         wi = F.expr("d_date_sk div 7")
-        keep = (((F.col("day_of_wk_num") == 0) & ((F.col("i") + F.col("w") + wi) % 11 != 0))
-                | ((F.col("day_of_wk_num") == 3) & (F.col("i") == 7)))
+        keep = (F.col("dow") == 3) | ((F.col("i") + F.col("w") + wi) % 11 != 0)
         qty = ((F.col("i") * 31 + F.col("w") * 17 + wi * 7) % 60)
         qty = _null_when((F.col("i") * 31 + F.col("w") * 17 + wi) % 13 == 0, qty)
-        return grid.filter(keep).select(
+        return rows.filter(keep).select(
             F.col("d_date_sk").cast("int").alias("inv_date_sk"),
             F.col("i").cast("int").alias("inv_item_sk"),
             qty.cast("int").alias("inv_quantity_on_hand"),

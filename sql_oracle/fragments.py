@@ -37,8 +37,8 @@ WHERE {cond}
 def _sales(p: str, cond: str, cust_col: str, extra: str) -> str:
     return f"""
 SELECT CAST(CASE WHEN l_orderkey % 53 = 0 THEN NULL ELSE {SK.format(c='l_shipdate')} END AS BIGINT) AS {p}_sold_date_sk,
-       CAST(l_partkey % 20 AS BIGINT) AS {p}_item_sk,
-       CAST(CASE WHEN l_orderkey % 37 = 0 THEN NULL ELSE l_suppkey % 5 END AS BIGINT) AS {p}_warehouse_sk,
+       CAST(l_partkey AS BIGINT) AS {p}_item_sk,
+       CAST(CASE WHEN l_orderkey % 37 = 0 THEN NULL ELSE l_suppkey END AS BIGINT) AS {p}_warehouse_sk,
        CASE WHEN l_orderkey % 41 = 0 THEN NULL ELSE q END AS {p}_quantity,
        CASE WHEN l_orderkey % 43 = 0 THEN NULL ELSE ec // (10 * q) END AS {p}_price_cents,
        CASE WHEN l_orderkey % 47 = 0 THEN NULL ELSE ec * (100 - dp) // 1000 - 9000 * q END AS {p}_profit_cents,
@@ -67,21 +67,19 @@ _WS_EXTRA = """,
 cte("catalog_sales", [], _sales("cs", "l_linenumber <= 4", "cs_ship_customer_sk", _CS_EXTRA))
 cte("web_sales", [], _sales("ws", "l_linenumber > 4", "ws_bill_customer_sk", _WS_EXTRA))
 
-cte("item", [], """
-SELECT CAST(p_partkey % 20 AS BIGINT) AS i_item_sk, arg_min(p_name, p_partkey) AS i_product_name,
-       arg_min(p_type, p_partkey) AS i_item_desc
-FROM part GROUP BY 1
-""")
+cte("item", [], "SELECT CAST(p_partkey AS BIGINT) AS i_item_sk, p_name AS i_product_name, p_type AS i_item_desc FROM part")
 
-cte("warehouse", [], "SELECT DISTINCT CAST(s_suppkey % 5 AS BIGINT) AS w_warehouse_sk FROM supplier")
+cte("warehouse", [], "SELECT DISTINCT CAST(s_suppkey AS BIGINT) AS w_warehouse_sk FROM supplier")
 
-cte("inventory", ["date_dim"], """
-SELECT CAST(d_date_sk AS INTEGER) AS inv_date_sk, CAST(i AS INTEGER) AS inv_item_sk,
-       CAST(CASE WHEN (i * 31 + w * 17 + d_date_sk // 7) % 13 = 0 THEN NULL
-                 ELSE (i * 31 + w * 17 + (d_date_sk // 7) * 7) % 60 END AS INTEGER) AS inv_quantity_on_hand,
+cte("inventory", ["date_dim"], f"""
+SELECT CAST(d AS INTEGER) AS inv_date_sk, CAST(i AS INTEGER) AS inv_item_sk,
+       CAST(CASE WHEN (i * 31 + w * 17 + d // 7) % 13 = 0 THEN NULL
+                 ELSE (i * 31 + w * 17 + (d // 7) * 7) % 60 END AS INTEGER) AS inv_quantity_on_hand,
        CAST(w AS INTEGER) AS inv_warehouse_sk
-FROM date_dim, range(20) ti(i), range(5) tw(w)
-WHERE (day_of_wk_num = 0 AND (i + w + d_date_sk // 7) % 11 <> 0) OR (day_of_wk_num = 3 AND i = 7)
+FROM (SELECT i, w, dow, sunday + dow AS d
+      FROM (SELECT DISTINCT l_partkey AS i, l_suppkey AS w, sk - (sk + 1) % 7 AS sunday
+            FROM (SELECT l_partkey, l_suppkey, {SK.format(c='l_shipdate')} AS sk FROM lineitem) l) p, (VALUES (0), (3)) t(dow)) x
+WHERE (dow = 0 AND (i + w + d // 7) % 11 <> 0) OR (dow = 3 AND i % 20 = 7)
 """)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from sql_oracle.fragments import with_ctes
 
+# Fixed values that must equal the reference: the customer columns, and those compared through coalesce(x, 0).
 CUSTOMER_COLS = [
     "c_salutation", "c_preferred_cust_flag", "c_first_sales_date_sk", "c_customer_sk", "c_login",
     "c_current_cdemo_sk", "c_first_name", "c_current_hdemo_sk", "c_current_addr_sk", "c_last_name",

@@ -27,10 +27,9 @@ def test_weekly_has_two_aggregate_shuffles(spark):
     assert "partial_sum" in p
 
 
-def test_scd2_run_is_one_shuffle(spark, raw_small, monkeypatch):
-    """Large sources (above the broadcast bound) merge in one shuffle."""
+def test_scd2_run_is_one_shuffle(spark, raw_small):
+    """Sources of any size merge in one shuffle."""
     from retail_mart.operators import customer_scd2 as scd
-    monkeypatch.setattr(scd, "SCD2_BROADCAST_MAX_ROWS", 0)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         snap = scd.scd2_apply(scd.empty_snapshot(spark), raw_small.customer(1), "2001-01-01")
