@@ -22,6 +22,7 @@ import argparse
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from retail_mart.plans import pipeline as pl
 from retail_mart.sources import ingest, sinks
@@ -30,14 +31,18 @@ RAW_TABLES = ["catalog_sales", "web_sales", "date_dim", "customer", "customer_ad
               "customer_demographics", "household_demographics", "income_band", "item", "warehouse"]
 
 
-def raw_table(spark: SparkSession, raw_root: str, name: str) -> DataFrame:
+def raw_table(spark: SparkSession, raw_root: str, name: str, fmt: str = "parquet", **options) -> DataFrame:
+    """S3: a raw table as it is stored, or from another format or a relational
+    source; money becomes exact (whole cents) here."""
     root = f"{raw_root.rstrip('/')}/{name}"
     if name == "inventory":
         cur = sinks.read_current(spark, root)
         if cur is None:
             raise FileNotFoundError(f"no complete inventory version under {root}")
         return cur
-    return spark.read.parquet(root)
+    df = ingest.read_table(spark, root, fmt, **options)
+    money = [c for c in df.columns if c.endswith(("_sales_price", "_net_profit"))]
+    return df.withColumns({c: F.col(c).cast("decimal(12,2)") for c in money})
 
 
 def raw_inputs(spark: SparkSession, raw_root: str) -> pl.RawInputs:

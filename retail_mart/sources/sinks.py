@@ -62,14 +62,30 @@ def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(path) if path else None
 
 
-def write_version(df: DataFrame, root: str) -> str:
-    """Write ``df`` as the next version of the table at ``root``."""
-    spark = df.sparkSession
+def claim_version(spark: SparkSession, root: str) -> int:
+    """The next version number nobody has claimed; the claim is a file that
+    one writer alone can create (on file systems with atomic creation)."""
     vs = versions(spark, root)
     n = (vs[-1] + 1) if vs else 1
-    path = f"{root.rstrip('/')}/v={n:06d}"
-    delete(spark, path)  # leftovers of a failed attempt at this version
+    while True:
+        fs, p = _fs(spark, f"{root.rstrip('/')}/_claim-{n:06d}")
+        if fs.createNewFile(p):
+            return n
+        n += 1
+
+
+def write_version(df: DataFrame, root: str, keep: int | None = None) -> str:
+    """Write ``df`` as the next version of the table at ``root``; with
+    ``keep``, drop all complete versions but the newest ``keep`` afterwards.
+
+    A failed attempt keeps its number, so no writer touches another's files;
+    of two writers at once, the one with the larger number becomes current."""
+    spark = df.sparkSession
+    path = f"{root.rstrip('/')}/v={claim_version(spark, root):06d}"
     df.write.mode("errorifexists").parquet(path)
+    if keep:
+        for n in versions(spark, root)[:-keep]:
+            delete(spark, f"{root.rstrip('/')}/v={n:06d}")
     return path
 
 

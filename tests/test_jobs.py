@@ -1,17 +1,63 @@
-"""Jobs over a stored raw layer: ingest the inventory file, run all tasks."""
+"""Jobs over a stored raw layer: ingest the inventory file, run all tasks, in every mode."""
 
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from retail_mart.operators import daily_sales as ds
 from retail_mart.operators import weekly_inventory as wi
 from retail_mart.plans import jobs
+from retail_mart.operators.common import check_calendar
 from retail_mart.plans import pipeline as pl
+from retail_mart.plans.registry import raw_inputs
 from retail_mart.sources import ingest, sinks
 from tests.helpers import frame_rows
 
 
+def test_modes_are_checked_before_the_first_write(spark, raw_small):
+    root = tempfile.mkdtemp(prefix="mart-")
+    with pytest.raises(ValueError, match="modes"):
+        pl.run_pipeline(spark, raw_inputs(raw_small, 1), root, "2001-01-01", "strict", "strict")
+    assert pl.read_daily(spark, pl.MartPaths(root)) is None
+
+
+@pytest.mark.parametrize("scd_mode, program_mode", [("strict", "reference"), ("reference", "documented")])
+def test_run_all_in_its_other_modes_after_an_empty_first_run(spark, raw_small, scd_mode, program_mode):
+    """A first run without sales leaves tables that the next run can load."""
+    root = tempfile.mkdtemp(prefix="mart-")
+    paths = pl.MartPaths(root)
+    pl.run_pipeline(spark, raw_inputs(raw_small, 1, cut=0), root, "2001-01-01", scd_mode, program_mode)
+    first = int(raw_small.catalog_sales().agg(F.min("cs_sold_date_sk")).first()[0])
+    pl.run_pipeline(spark, raw_inputs(raw_small, 2, cut=first + 30), root, "2001-02-01", scd_mode, program_mode)
+    assert pl.read_daily(spark, paths).count() > 0 and pl.read_weekly(spark, paths).count() > 0
+    assert pl.read_monthly(spark, paths).count() > 0 and len(sinks.versions(spark, paths.customer_dim)) == 2
+
+
+def test_money_is_exact_from_the_raw_boundary_on(spark):
+    root = tempfile.mkdtemp(prefix="raw-")
+    spark.sql("select 1L as ws_quantity, 0.1d as ws_sales_price, -2.35d as ws_net_profit").write.json(f"{root}/web_sales")
+    t = jobs.raw_table(spark, root, "web_sales", fmt="json")
+    assert t.schema["ws_sales_price"].dataType.simpleString() == "decimal(12,2)"
+    assert [str(x) for x in t.select("ws_sales_price", "ws_net_profit").first()] == ["0.10", "-2.35"]
+
+
+def test_two_writers_take_different_versions(spark):
+    root = tempfile.mkdtemp(prefix="versions-")
+    one, two = sinks.claim_version(spark, root), sinks.claim_version(spark, root)
+    assert one != two
+    for n in range(3):
+        sinks.write_version(spark.range(n), root, keep=2)
+    assert sinks.read_current(spark, root).count() == 2 and len(sinks.versions(spark, root)) == 2
+
+
+def test_calendar_guard(spark, raw_small):
+    dd = raw_small.date_dim()
+    check_calendar(dd)
+    with pytest.raises(ValueError, match="1 repeated days"):
+        check_calendar(dd.union(dd.filter(F.col("day_of_wk_num") == 3).limit(1)))
+
+
 def test_stored_raw_layer_end_to_end(spark, raw_small):
     r = raw_small
     raw_root = tempfile.mkdtemp(prefix="raw-")
@@ -38,5 +84,5 @@ def test_stored_raw_layer_end_to_end(spark, raw_small):
     weekly = pl.read_weekly(spark, paths)
     expect = wi.weekly_sales_inventory(full_daily, inv, r.date_dim())
     assert frame_rows(weekly.select(*expect.columns)) == frame_rows(expect)
-    assert sinks.read_current(spark, f"{mart_root}/analytics/item_dim").count() == 20
+    assert sinks.read_current(spark, f"{mart_root}/analytics/item_dim").count() == r.item().count()
     assert sinks.read_current(spark, paths.customer_dim).filter(F.col("end_date").isNull()).count() > 0

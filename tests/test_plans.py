@@ -100,4 +100,21 @@ def test_weekly_incremental_prunes_daily_partitions(spark, raw_small):
     daily = sinks.read_partitioned(spark, path, {"sold_date_sk": "bigint"})
     p = plan(wi.weekly_sales_inventory(daily, r.inventory(), r.date_dim(), since_wk_sk=2451900))
     scan = [ln for ln in p.split("\n") if "FileScan parquet" in ln and "daily" in ln][0]
-    assert "PartitionFilters: [isnotnull(sold_date_sk" in scan and "2451900" in scan
+    assert "PartitionFilters: [isnotnull(sold_date_sk" in scan and str(wi.week_bound(r.date_dim(), 2451900)) in scan
+
+
+def test_programme_bounds_reach_the_fact_scans(spark, raw_small):
+    """The target year arrives as literal days at the stored fact tables."""
+    from retail_mart.operators import customer_program as cp
+    from retail_mart.operators import customer_scd2 as scd
+    r, root = raw_small, tempfile.mkdtemp(prefix="raw-")
+    r.catalog_sales(with_customer=True).write.parquet(f"{root}/cs")
+    r.web_sales(with_customer=True).write.parquet(f"{root}/ws")
+    cs, ws = spark.read.parquet(f"{root}/cs"), spark.read.parquet(f"{root}/ws")
+    lo, hi = cp.date_bounds(r.date_dim(), 1998, "documented")
+    assert hi - lo == 364
+    program = cp.monthly_customer_program(cs, ws, r.date_dim(), scd.empty_snapshot(spark), 1998, 3, "documented")
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    p = program._jdf.queryExecution().explainString(mode)
+    for c in ("cs_sold_date_sk", "ws_sold_date_sk"):
+        assert f"GreaterThanOrEqual({c},{lo})" in p and f"LessThanOrEqual({c},{hi})" in p

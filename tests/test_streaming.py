@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+from retail_mart.plans import jobs
 from retail_mart.sources import sinks
 from retail_mart.streaming.inventory_files import load_landed_inventory
 
@@ -30,3 +31,12 @@ def test_each_landed_file_becomes_a_version_once(spark):
 
     load_landed_inventory(spark, landing, raw_root, ck)        # nothing new: no new version
     assert sinks.versions(spark, f"{raw_root}/inventory") == [1, 2]
+
+
+def test_the_job_started_twice_loads_a_file_once(spark):
+    base = tempfile.mkdtemp(prefix="stream-")
+    os.makedirs(f"{base}/landing")
+    _write(f"{base}/landing/inv-001.csv", ["2450000,1,10,0"])
+    for _ in range(2):
+        jobs.main(["watch-inventory", "--raw-root", f"{base}/raw", "--landing", f"{base}/landing"])
+    assert sinks.versions(spark, f"{base}/raw/inventory") == [1]

@@ -57,3 +57,19 @@ def test_weekly_incremental_equals_full_at_any_cut(spark, raw_small, cut_day):
     daily = ds.daily_sales(r.catalog_sales(), r.web_sales(), r.date_dim())
     got = inc.weekly_incremental(existing, daily, r.inventory(), r.date_dim()).table
     assert frame_rows(got) == frame_rows(wi.weekly_sales_inventory(daily, r.inventory(), r.date_dim()))
+
+
+@pytest.mark.parametrize("first_dow", [1, 6])   # ISO weeks begin on Monday, others on Saturday; day 0 stays Sunday
+def test_reloaded_weeks_are_whole_on_any_calendar(spark, raw_small, first_dow):
+    dd = raw_small.date_dim().withColumn("wk_num", F.expr(f"(d_date_sk + 1 - {first_dow}) div 7")).withColumn("yr_num", F.lit(1).cast("bigint"))
+    sun = _sk(spark, "1998-06-07")
+    weeks = {r.d_date_sk: r.wk_num for r in dd.filter(F.col("d_date_sk").between(sun - 20, sun + 20)).collect()}
+    daily = spark.createDataFrame([(1, 7, sun + k, weeks[sun + k], 1, 10, D(100), D(5)) for k in range(-20, 21)], DAILY)
+    inv = spark.createDataFrame([(sun + k, 7, 2, 1) for k in (-9, -2, 5)], INV)
+    full = wi.weekly_sales_inventory(daily, inv, dd)
+    got = wi.weekly_sales_inventory(daily, inv, dd, since_wk_sk=sun, mode="strict")
+    assert frame_rows(got) == frame_rows(full.filter(F.col("sold_wk_sk") >= sun))
+    # reference mode: the finished group counts, by its first sale
+    kept = {w for k, w in weeks.items() if k < sun}
+    ref = wi.weekly_sales_inventory(daily, inv, dd, since_wk_sk=sun)
+    assert frame_rows(ref) == frame_rows(full.filter(~F.col("sold_wk_num").isin(*kept)))
