@@ -81,21 +81,24 @@ def new_run_dir(spark: SparkSession, prefix: str) -> str:
     return shared_dir(spark, f"{prefix}-{uuid.uuid4().hex[:12]}")
 
 
-def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+                 shuffle_bytes: int | None = None) -> dict:
     """Settings that keep shuffle and scan partitions near ``target_partition_bytes``.
 
     * scan splits: ``maxPartitionBytes`` = target (Spark itself shrinks
       splits toward input / cores for small inputs);
-    * shuffle: start with ~input / target partitions (at least 2 per core) and
+    * shuffle: start with ~shuffled bytes / target partitions (at least 2 per
+      core; ``shuffle_bytes`` as the event log of an earlier run gives it, the
+      input's size only while it is unknown, an upper bound here) and
       let AQE coalesce small ones toward the advisory size, and split skewed
       partitions of sort-merge joins;
     * broadcast threshold stays at its default: explicit broadcasts are
       size-checked in code (operators.common.small_side).
-    For 100 TB on 1,000 executors x 8 cores: ~400k shuffle partitions before
-    coalescing, 256 MB splits.
+    For 100 TB on 1,000 executors x 8 cores whose partial aggregates shuffle
+    5 TB: ~20k shuffle partitions before coalescing, 256 MB splits.
     """
     split = target_partition_bytes
-    shuffle = max(2 * total_cores, input_bytes // target_partition_bytes)
+    shuffle = max(2 * total_cores, (input_bytes if shuffle_bytes is None else shuffle_bytes) // target_partition_bytes)
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(int(shuffle)),

@@ -82,6 +82,7 @@ def write_version(df: DataFrame, root: str, keep: int | None = None) -> str:
     of two writers at once, the one with the larger number becomes current."""
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/v={claim_version(spark, root):06d}"
+    delete(spark, path)  # a folder there has no claim, so no writer
     df.write.mode("errorifexists").parquet(path)
     if keep:
         for n in versions(spark, root)[:-keep]:

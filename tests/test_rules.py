@@ -37,4 +37,6 @@ def test_cluster_conf_scales_with_input():
     big = cluster_conf(100 << 40, 8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    known = cluster_conf(100 << 40, 8000, shuffle_bytes=5 << 40)
+    assert int(known["spark.sql.shuffle.partitions"]) == (5 << 40) // (256 << 20)
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
