@@ -36,6 +36,8 @@ ORDER = 4
 BLOCK_BYTES = 6 << 20
 # Text bytes of a piece of a very long text; a piece carries the bytes before it as context.
 PIECE = 2 << 20
+# Tokens of a block scored at a time.
+CHUNK = 1 << 20
 _LEAD = b"\n" * (ORDER - 1)
 
 
@@ -75,7 +77,7 @@ def _grams(body: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     s = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8).astype(np.uint32)
     n = len(s) - ORDER + 1
     if n <= 0:
-        return np.empty(0, np.uint32), np.empty(0, np.int64)
+        return np.empty(0, np.uint32), np.empty(0, np.int32)
     g = s[:n].copy()
     for k in range(1, ORDER):
         g = (g << np.uint32(8)) | s[k:k + n]
@@ -85,7 +87,7 @@ def _grams(body: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for k in range(ORDER - 1):
         over = ends[:-1] - 1 - k
         inside[over[(over >= 0) & (over < n)]] = False
-    return g[inside], np.repeat(np.arange(len(sizes)), sizes - ORDER + 1)
+    return g[inside], np.repeat(np.arange(len(sizes), dtype=np.int32), sizes - ORDER + 1)
 
 
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,11 +113,14 @@ def _score_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cols = b.column("slice")[i].values
             known, loss_t, loss_b = (np.asarray(cols.field(k)) if cols is not None else np.empty(0) for k in range(3))
             order = np.argsort(known)
-            at = order[np.searchsorted(known, g, sorter=order)] if len(g) else np.empty(0, np.int64)
             n = len(sizes)
+            t, back = np.zeros(n), np.zeros(n)
+            for lo in range(0, len(g), CHUNK):
+                at = order[np.searchsorted(known, g[lo:lo + CHUNK], sorter=order)]
+                t += np.bincount(piece[lo:lo + CHUNK], loss_t[at], n)
+                back += np.bincount(piece[lo:lo + CHUNK], loss_b[at], n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows), pa.array(ids, pa.int64()), pa.array(np.bincount(piece, minlength=n)),
-                 pa.array(np.bincount(piece, loss_t[at], n).astype(float)), pa.array(np.bincount(piece, loss_b[at], n).astype(float))],
+                [pa.array(rows), pa.array(ids, pa.int64()), pa.array(np.bincount(piece, minlength=n)), pa.array(t), pa.array(back)],
                 ["row", "doc_id", "n", "t", "b"])
 
 
