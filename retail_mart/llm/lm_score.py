@@ -36,7 +36,7 @@ ORDER = 4
 BLOCK_BYTES = 6 << 20
 # Text bytes of a piece of a very long text; a piece carries the bytes before it as context.
 PIECE = 2 << 20
-# Tokens of a block scored at a time.
+# Tokens of a block counted or scored at a time.
 CHUNK = 1 << 20
 _LEAD = b"\n" * (ORDER - 1)
 
@@ -72,36 +72,42 @@ def _pack_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield block()
 
 
-def _grams(body: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The n-grams that end at the tokens of a block's pieces, and their piece."""
-    s = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8).astype(np.uint32)
+def _grams(body: bytes, sizes: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The n-grams that end at the tokens of a block's pieces, and their piece, CHUNK at a time."""
+    s = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8)
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
     n = len(s) - ORDER + 1
-    if n <= 0:
-        return np.empty(0, np.uint32), np.empty(0, np.int32)
-    g = s[:n].copy()
-    for k in range(1, ORDER):
-        g = (g << np.uint32(8)) | s[k:k + n]
-    # drop those that run over the end of a piece
-    ends = np.cumsum(sizes)
-    inside = np.ones(n, bool)
-    for k in range(ORDER - 1):
-        over = ends[:-1] - 1 - k
-        inside[over[(over >= 0) & (over < n)]] = False
-    return g[inside], np.repeat(np.arange(len(sizes), dtype=np.int32), sizes - ORDER + 1)
+    for lo in range(0, n, CHUNK):
+        hi = min(n, lo + CHUNK)
+        g = s[lo:hi].astype(np.uint32)
+        for k in range(1, ORDER):
+            g <<= np.uint32(8)
+            g |= s[lo + k:hi + k]
+        piece = np.repeat(np.arange(len(sizes), dtype=np.int32), np.diff(np.clip(bounds, lo, hi)))
+        # drop those that run over the end of a piece
+        inside = np.ones(hi - lo, bool)
+        for k in range(1, ORDER):
+            over = bounds[1:] - k - lo
+            inside[over[(over >= 0) & (over < hi - lo)]] = False
+        yield g[inside], piece[inside]
 
 
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for i in range(b.num_rows):
             block, sizes, body, marked = (b.column(c)[i].as_py() for c in ("block", "sizes", "body", "marked"))
-            g, piece = _grams(body, np.array(sizes))
-            own, n = np.unique(g, return_counts=True)
             target = np.zeros(len(sizes), bool)
             target[np.array(marked or [], np.int64)] = True
-            mine, m = np.unique(g[target[piece]], return_counts=True)
-            t = np.zeros(len(own), np.int64)
-            t[np.searchsorted(own, mine)] = m
-            yield pa.RecordBatch.from_arrays([pa.array([block] * len(own), pa.string()), pa.array(own.astype(np.int64)), pa.array(t), pa.array(n.astype(np.int64))],
+            own, t, n = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+            for g, piece in _grams(body, sizes):
+                new, m = np.unique(g, return_counts=True)
+                mine, k = np.unique(g[target[piece]], return_counts=True)
+                both = np.union1d(own, new)
+                seen = [np.zeros(len(both), np.int64) for _ in range(2)]
+                for total, grams, counts in ((seen[0], own, t), (seen[0], mine, k), (seen[1], own, n), (seen[1], new, m)):
+                    total[np.searchsorted(both, grams)] += counts
+                own, (t, n) = both, seen
+            yield pa.RecordBatch.from_arrays([pa.array([block] * len(own), pa.string()), pa.array(own.astype(np.int64)), pa.array(t), pa.array(n)],
                                              ["block", "gram", "target", "background"])
 
 
@@ -109,19 +115,19 @@ def _score_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for i in range(b.num_rows):
             rows, ids, sizes, body = (b.column(c)[i].as_py() for c in ("rows", "ids", "sizes", "body"))
-            g, piece = _grams(body, np.array(sizes))
             cols = b.column("slice")[i].values
             known, loss_t, loss_b = (np.asarray(cols.field(k)) if cols is not None else np.empty(0) for k in range(3))
             order = np.argsort(known)
-            n = len(sizes)
-            t, back = np.zeros(n), np.zeros(n)
-            for lo in range(0, len(g), CHUNK):
-                at = order[np.searchsorted(known, g[lo:lo + CHUNK], sorter=order)]
-                t += np.bincount(piece[lo:lo + CHUNK], loss_t[at], n)
-                back += np.bincount(piece[lo:lo + CHUNK], loss_b[at], n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows), pa.array(ids, pa.int64()), pa.array(np.bincount(piece, minlength=n)), pa.array(t), pa.array(back)],
-                ["row", "doc_id", "n", "t", "b"])
+            ranked = known[order]
+            many = len(sizes)
+            n, t, back = np.zeros(many, np.int64), np.zeros(many), np.zeros(many)
+            for g, piece in _grams(body, sizes):
+                at = order[np.searchsorted(ranked, g)]
+                n += np.bincount(piece, minlength=many)
+                t += np.bincount(piece, loss_t[at], many)
+                back += np.bincount(piece, loss_b[at], many)
+            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(ids, pa.int64()), pa.array(n), pa.array(t), pa.array(back)],
+                                             ["row", "doc_id", "n", "t", "b"])
 
 
 def losses(counts: DataFrame, order: int = ORDER) -> DataFrame:

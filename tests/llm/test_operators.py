@@ -343,9 +343,19 @@ def test_pieces_do_not_change_scores(spark, edge, monkeypatch):
     monkeypatch.setattr(lm_score, "BLOCK_BYTES", 5000)
     cut = list(lm_score._pack_rows(iter(edge.select("doc_id", "text").toArrow().to_batches())))
     assert len(cut) > 10 * len(rows) and len(whole) == edge.count()
-    grams = lambda bs: collections.Counter(g for b in bs for i in range(b.num_rows) for g in
-                                           lm_score._grams(b.column("body")[i].as_py(), np.array(b.column("sizes")[i].as_py()))[0].tolist())
-    assert grams(rows) == grams(cut)
+
+    def grams(batches):
+        out = collections.Counter()
+        for row in (r for b in batches for r in b.to_pylist()):
+            for g, piece in lm_score._grams(row["body"], row["sizes"]):
+                out.update(zip((row["ids"][p] for p in piece.tolist()), g.tolist(), strict=True))
+        return out
+
+    of_pieces = grams(cut)
+    assert grams(rows) == of_pieces
+    for chunk in (7, 700):
+        monkeypatch.setattr(lm_score, "CHUNK", chunk)
+        assert grams(cut) == of_pieces
 
 
 # 8 secrets
