@@ -383,6 +383,32 @@ def test_secret_scan_without_two_classes(spark, edge, none):
     assert secrets.scan(edge).count() == 0
 
 
+def test_secret_scan_knows_other_forms(spark):
+    rnd = random.Random(5)
+    key = lambda n, of="abcdefghijkmnpqrstuvwxyz23456789ABCDEFGHJKLMNPQRSTUVWXYZ": "".join(rnd.choice(of) for _ in range(n))
+    letters = "bcdfghjklmnpqrstvwxz"
+    forms = ['client_secret = "{}"', "access_token: '{}'", "aws_secret_access_key = {}", "API_KEY={}", "db-password: {}",
+             "Authorization: Bearer {}", '{{"clientSecret": "{}"}}', 'export SERVICE_TOKEN={}==']
+    rows, want = [], {}
+    for i in range(160):
+        value = key(16, letters) if i % 3 == 0 else key(10) if i % 3 == 1 else key(40)
+        form = forms[i % len(forms)]
+        rows.append((i, "some words of plain prose here " + form.format(value) + " and more words"))
+        want[i] = value + ("==" if form.endswith("==") else "")
+        rows.append((1000 + i, f"card {rnd.randrange(10**15, 10**16)} or /usr/lib/{key(4, '0123456789abcdef')}/share/of/path{i} in plain prose"))
+    got = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    text = dict(rows)
+    found = {r.doc_id: text[r.doc_id][r.start:r.start + r.length] for r in got if r.secret}
+    assert found == want
+    assert {r.doc_id for r in got} >= {1000 + i for i in range(160)}
+
+
+def test_secret_dictionary_counts_all_texts(spark):
+    rows = [(i, "word " * 5_000 if i else "prose " * 100) for i in range(600)] + [(999, "later " * 9_000)]
+    known = {r.trigram for r in secrets.dictionary(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert known == {"wor", "ord", "lat", "ate", "ter"}
+
+
 # 9 decontamination
 
 def test_contained_items_are_brute_force(spark, edge, none):
