@@ -158,6 +158,36 @@ def test_near_duplicates_on_edge_cases(spark, edge, none):
     assert order_minhash.near_duplicates(none).count() == 0
 
 
+def test_candidates_reach_the_threshold():
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6)).encode()
+    for n, changed, least in ((300, 0.10, 0.99), (300, 0.15, 0.95), (300, 0.20, 0.85), (20, 0.20, 1.0), (12, 0.16, 1.0), (38, 0.18, 1.0)):
+        met = 0
+        for _ in range(100):
+            a = [word() for _ in range(n)]
+            b = list(a)
+            for i in rnd.sample(range(n), int(changed * n)):
+                b[i] = word()
+            assert order_minhash.similarity(a, b) is not None
+            met += bool(np.isin(order_minhash.text_keys(b" ".join(a)), order_minhash.text_keys(b" ".join(b))).any())
+        assert met >= 100 * least, (n, changed, met)
+
+
+def test_short_texts_meet_as_by_brute_force(spark):
+    base = "red green blue white black brown pink grey gold".split()
+    texts = [base[:n] for n in range(3, 10)]
+    texts += [[*base[:i], "other", *base[i + 1:n]] for n in (4, 5, 6, 9) for i in range(n)]
+    texts += [["new", *base[2:8]], ["x1", "x2", "x3", "x4", "x5"], ["x1", "x2", "y3", "x4", "x5"], ["x1", "x2", "x3", "x4", "x5", "x6"]]
+    of = list(range(len(texts)))
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts[:i]):
+            if order_minhash.similarity([w.encode() for w in a], [w.encode() for w in b]) is not None:
+                x, y = of[i], of[j]
+                of = [min(x, y) if k in (x, y) else k for k in of]
+    got = order_minhash.near_duplicates(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string"))
+    assert {r.doc_id: r.class_id for r in got.collect()} == dict(enumerate(of))
+
+
 # 4 WARC
 
 PAGES = "page_id long, url string, html string, d string, best string"
