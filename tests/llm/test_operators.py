@@ -480,3 +480,14 @@ def test_quotes_link_replies(spark):
     parsed = quotes.parse(spark.createDataFrame(rows, "msg_id string, scope string, ord long, text string"))
     assert {(r.msg_id, r.level): r.source for r in quotes.links(parsed).collect()} == {("b", 1): "a", ("c", 1): "b", ("c", 2): "a"}
     assert quotes.conversations(spark.createDataFrame([], "msg_id string, scope string, ord long, text string")).count() == 0
+
+
+def test_quotes_link_repeated_replies_to_their_own_message(spark):
+    rows = [("1", "s", 1, "Is it raining?"), ("2", "s", 2, "Yes.\n> Is it raining?"), ("3", "s", 3, "Do you stay?\n> Yes.\n>> Is it raining?"),
+            ("4", "s", 4, "Yes.\n> Do you stay?\n>> Yes."), ("5", "s", 5, "Fine.\n> Yes.\n>> Do you stay?"),
+            ("6", "s", 6, "Take a coat.\n> Yes.\n>> Is it raining?"), ("7", "s", 7, "Good.\n> Yes."),
+            ("8", "s", 90_000, "Late.\n> Take a coat."), ("9", "s", 90_001, "Really late.\n> Yes.")]
+    got = {r.msg_id: (r.reply_to, r.root, r.depth) for r in
+           quotes.conversations(spark.createDataFrame(rows, "msg_id string, scope string, ord long, text string")).collect()}
+    assert got == {"1": (None, "1", 0), "2": ("1", "1", 1), "3": ("2", "1", 2), "4": ("3", "1", 3), "5": ("4", "1", 4), "6": ("2", "1", 2),
+                   "7": ("4", "1", 4), "8": ("6", "1", 3), "9": ("4", "1", 4)}
