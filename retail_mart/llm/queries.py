@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_mart.llm import decontam, langid, lm_score, mixing, order_minhash, quotes, secrets, tokens, topk, warc
+from retail_mart.llm import decontam, langid, lm_score, mixing, order_minhash, quotes, secrets, tokens, topk, warc, word_runs
 from retail_mart.llm.common import table
 
 
@@ -87,6 +87,29 @@ def op10_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
                     part("root", 2).alias("root_turn"), "depth", "text")
 
 
+def periodic_texts(documents: DataFrame) -> DataFrame:
+    """(doc_id, text): with h the crc32 of the id in decimal, a text of h % 10 = 0 goes round its p words from word a on; others stay."""
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    n, g = F.size(words).cast("long"), F.floor(F.crc32(F.col("doc_id").cast("string").cast("binary")) / 10)
+    a = F.when(n > 0, g % n)
+    p = F.lit(1).cast("long") + F.floor((n - a) / (g % 8 + 3))
+    part = lambda x, k, m: F.slice(x, k.cast("int"), m.cast("int"))
+    turns = F.flatten(F.array_repeat(part(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    round_ = F.array_join(part(F.concat(part(words, F.lit(1), a), turns), F.lit(1), n), " ")
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
+    return documents.select("doc_id", F.when(chosen & (n > 0), round_).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = word_runs.periodic_runs(periodic_texts(table(spark, sf_dir, "documents")))
+    line = lambda x: F.concat(x["start"].cast("string"), F.lit(","), x["length"].cast("string"), F.lit(","), x["period"].cast("string"), F.lit("\n"))
+    top = F.col("densest")
+    return r.select("doc_id", F.size("runs").cast("long").alias("n_runs"), top["start"].alias("start"), top["length"].alias("length"),
+                    top["period"].alias("period"), F.floor(top["length"] * 1000 / top["period"]).alias("exponent_milli"),
+                    F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+                    F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -96,7 +119,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_mixing": op1_mixing, "op2_topk": op2_topk, "op3_near_dedup": op3_near_dedup, "op4_warc": op4_warc, "op5_tokens": op5_tokens,
     "op6_langid": op6_langid, "op7_lm_score": op7_lm_score, "op8_secrets": op8_secrets, "op9_decontamination": op9_decontamination,
-    "op10_quotes": op10_quotes, "pipeline": pipeline,
+    "op10_quotes": op10_quotes, "op11_periodic_runs": op11_periodic_runs, "pipeline": pipeline,
 }
 
 # The others have no SQL form: SHA-1 in base32, xxHash64, tokenizers, trees and alignments are not in the SQL engine;
