@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_mart.llm import decontam, langid, lm_score, mixing, order_minhash, quotes, secrets, tokens, topk, warc, word_runs
+from retail_mart.llm import decontam, divergence, langid, lm_score, mixing, order_minhash, packing, quotes, secrets, tokens, topk, warc, word_runs
 from retail_mart.llm.common import table
 
 
@@ -110,6 +110,15 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return p.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.Audit(table(spark, sf_dir, "documents")).report()
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -119,7 +128,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_mixing": op1_mixing, "op2_topk": op2_topk, "op3_near_dedup": op3_near_dedup, "op4_warc": op4_warc, "op5_tokens": op5_tokens,
     "op6_langid": op6_langid, "op7_lm_score": op7_lm_score, "op8_secrets": op8_secrets, "op9_decontamination": op9_decontamination,
-    "op10_quotes": op10_quotes, "op11_periodic_runs": op11_periodic_runs, "pipeline": pipeline,
+    "op10_quotes": op10_quotes, "op11_periodic_runs": op11_periodic_runs,
+    "op12_packing": op12_packing, "op13_divergence": op13_divergence, "pipeline": pipeline,
 }
 
 # The others have no SQL form: SHA-1 in base32, xxHash64, tokenizers, trees and alignments are not in the SQL engine;
@@ -148,5 +158,39 @@ p AS (
     OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS root_turn FROM p
 )
 SELECT conv_id, turn, reply_to_turn, root_turn, turn - root_turn AS depth, trim(text, e' \\n\\t\\r') AS text FROM r
+""",
+    "op13_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), u AS (SELECT id, lang, source, unnest(terms) AS term FROM d
+), c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT id) AS docs FROM u GROUP BY ALL
+), k AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term HAVING sum(docs) >= 30
+), l AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang
+), kc AS (SELECT c.lang, c.source, c.term, c.n FROM c JOIN k ON k.lang = c.lang AND k.term = c.term
+), g AS (
+  SELECT g.lang, g.source, coalesce(sum(kc.n), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) g
+  LEFT JOIN kc ON kc.lang = g.lang AND kc.source = g.source GROUP BY g.lang, g.source
+), s AS (
+  SELECT g.lang, g.source, k.term, coalesce(kc.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(kc.n, 0) + 5)) // (g.n + 5 * l.v) AS p,
+    1 + (1000000000::HUGEINT * (k.n + 5)) // (l.n + 5 * l.v) AS q
+  FROM g JOIN k ON k.lang = g.lang JOIN l ON l.lang = g.lang
+  LEFT JOIN kc ON kc.lang = g.lang AND kc.source = g.source AND kc.term = k.term
+), x AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM s a JOIN s b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY a.lang, a.source, b.source
+), r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+  FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM s WHERE n > 0 AND p > q
+), o AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM r
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, rank FROM o WHERE part = 'pair' OR rank <= 50
 """,
 }

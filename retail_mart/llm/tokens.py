@@ -8,7 +8,8 @@ what a lost attempt left is in no manifest.
 
 Parts of a text are encoded once and remembered: the tokenizer drops white
 space and splits there, and also where a letter and another sign meet, so a
-text's ids are its parts' ids in a row. A text holding a special token's string is encoded whole.
+text's ids are its parts' ids in a row. A text holding a special token's string is encoded whole, and so
+is every text where the tokenizer's normalizer or splits are others than those this rests on.
 
 Edge cases: a null or empty text is its end id alone; repeated rows and equal
 ids are documents of their own; an empty table gives no shards; other columns
@@ -17,6 +18,7 @@ are ignored.
 
 from __future__ import annotations
 
+import json
 import struct
 import uuid
 from collections.abc import Iterator
@@ -41,13 +43,17 @@ _KIND = np.array([1 if b >= 128 or chr(b).isalpha() else 2 if 33 <= b < 127 and
                   for b in range(256)], np.int8)
 # Lead and further bytes of U+00C0 to U+017F, all of them letters but two.
 _LATIN = bytes([*range(128), 0xC3, 0xC4, 0xC5, *range(0x80, 0xC0)])
+# The normalizer and the splits of a tokenizer whose parts may be encoded apart.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def spaced(raw: bytes) -> bytes:
     """``raw`` with a blank wherever a letter and another sign meet: the
     tokenizer always splits there. Texts with other characters than ASCII and
-    Latin letters are left as they are."""
-    if raw.translate(None, _LATIN) or b"\xc3\x97" in raw or b"\xc3\xb7" in raw:
+    Latin letters are left as they are, as are those with U+0130, which the
+    tokenizer lowers to a letter and a mark."""
+    if raw.translate(None, _LATIN) or b"\xc3\x97" in raw or b"\xc3\xb7" in raw or b"\xc4\xb0" in raw:
         return raw
     b = np.frombuffer(raw, np.uint8)
     kind = _KIND[b]
@@ -63,6 +69,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        splits = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        self.in_parts = ((spec.get("normalizer") or {}).get("normalizers") == _NORMALIZERS
+                         and splits[0].get("pattern") == {"Regex": _SPLIT} and splits[0].get("behavior") == "Removed" and splits[0].get("invert") is True)
         self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -70,8 +81,8 @@ class Encoder:
     def ids(self, text: str | None) -> np.ndarray:
         """Ids of the whole text without special tokens, and the end id."""
         raw = (text or "").encode().lower()  # lowers ASCII only, as the tokenizer would
-        if any(s in raw for s in self.special):
-            own = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if not self.in_parts or any(s in raw for s in self.special):
+            own = np.array(self.tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
         else:
             parts = spaced(raw.translate(_BLANKS)).split(b" ")
             if len(self.memo) > MEMO:
