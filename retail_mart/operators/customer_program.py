@@ -15,7 +15,8 @@ map-side partial aggregate, no sort, and a hot customer costs one partial
 row per task. ``monthly_customer_metrics`` keeps the window form for all
 months, over a (customer, year, month) pre-aggregate: RANGE frames make all
 rows of a month peers, so windows over the pre-aggregate give the same values
-with far less window input.
+with far less window input. The same pre-aggregate, stored and kept up to date
+(``streaming.customer_months``), feeds the scheduled programme.
 """
 
 from __future__ import annotations
@@ -62,12 +63,20 @@ def date_bounds(date_dim: DataFrame, year: int, mode: str = "reference") -> tupl
     return (0, -1) if lo is None else (int(lo), int(row.hi))
 
 
+def month_totals(catalog_sales: DataFrame, web_sales: DataFrame, date_dim: DataFrame) -> DataFrame:
+    """Quantity ``q``, amount ``a`` and rows ``n`` per (customer, year, month)."""
+    return (_dated(catalog_sales, web_sales, date_dim).groupBy("customer_sk", "c_year", "c_month")
+            .agg(F.sum("quantity").alias("q"), F.sum("amount").alias("a"), F.count(F.lit(1)).alias("n")))
+
+
 def monthly_customer_metrics(catalog_sales: DataFrame, web_sales: DataFrame,
                              date_dim: DataFrame) -> DataFrame:
     """The reference's window metrics for every (customer, year, month)."""
-    m = (_dated(catalog_sales, web_sales, date_dim)
-         .groupBy("customer_sk", "c_year", "c_month")
-         .agg(F.sum("quantity").alias("q"), F.sum("amount").alias("a"), F.count(F.lit(1)).alias("n")))
+    return metrics_of_months(month_totals(catalog_sales, web_sales, date_dim))
+
+
+def metrics_of_months(m: DataFrame) -> DataFrame:
+    """P12 from ``month_totals``."""
     by_month = Window.partitionBy("customer_sk").orderBy("c_year", "c_month")   # W1, W2
     by_year = Window.partitionBy("customer_sk").orderBy("c_year")                # W3-W5
     return m.select(
@@ -91,27 +100,33 @@ def monthly_customer_program(catalog_sales: DataFrame, web_sales: DataFrame, dat
                              snapshot: DataFrame, year: int, month: int,
                              mode: str = "reference") -> DataFrame:
     """Programme rows for the customers who bought in (year, month)."""
-    yr, mth = F.lit(int(year)), F.lit(int(month))
     # sales outside the bounds contribute to no metric; as literals they reach the fact scans
     lo, hi = date_bounds(date_dim, year, mode)
     catalog_sales = catalog_sales.filter(F.col("cs_sold_date_sk").between(lo, hi))
     web_sales = web_sales.filter(F.col("ws_sold_date_sk").between(lo, hi))
-    rows = _dated(catalog_sales, web_sales, date_dim).filter(F.col("c_year") <= yr)
+    rows = _dated(catalog_sales, web_sales, date_dim)
+    return program_of_months(rows.select("customer_sk", "c_year", "c_month", F.col("quantity").alias("q"),
+                                         F.col("amount").alias("a"), F.lit(1).cast("bigint").alias("n")),
+                             snapshot, year, month, mode)
+
+
+def program_of_months(months: DataFrame, snapshot: DataFrame, year: int, month: int,
+                      mode: str = "reference") -> DataFrame:
+    """P15 from ``month_totals`` (or from any finer rows of the same columns)."""
+    yr, mth = F.lit(int(year)), F.lit(int(month))
     in_target = (F.col("c_year") == yr) & (F.col("c_month") == mth)
     if mode == "reference":
+        rows = months.filter(F.col("c_year") <= yr)
         month_cond = (F.col("c_year") < yr) | ((F.col("c_year") == yr) & (F.col("c_month") <= mth))
-        year_cond = F.col("c_year") <= yr
     elif mode == "documented":
+        rows = months.filter(F.col("c_year") == yr)
         month_cond = in_target
-        year_cond = F.col("c_year") == yr
     else:
         raise ValueError(mode)
     per_customer = (rows.groupBy("customer_sk").agg(
-        F.sum(F.when(month_cond, F.col("quantity"))).alias("sum_qty_mth"),
-        F.sum(F.when(month_cond, F.col("amount"))).alias("amt_mth"),
-        F.sum(F.when(year_cond, F.col("quantity"))).alias("qty_yr"),
-        F.sum(F.when(year_cond, F.col("amount"))).alias("amt_yr"),
-        F.count(F.when(year_cond, F.lit(1))).alias("n_yr"),
+        F.sum(F.when(month_cond, F.col("q"))).alias("sum_qty_mth"),
+        F.sum(F.when(month_cond, F.col("a"))).alias("amt_mth"),
+        F.sum("q").alias("qty_yr"), F.sum("a").alias("amt_yr"), F.sum("n").alias("n_yr"),
         F.max(in_target).alias("bought_in_target"))
         .filter(F.col("bought_in_target")))
     program = per_customer.select(

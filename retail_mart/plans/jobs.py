@@ -12,6 +12,12 @@ dimension copies. Here each is a function over a raw layer of Parquet tables
     python -m retail_mart run-all --raw-root R --mart-root M --as-of 2024-01-31
     python -m retail_mart copy-dims --raw-root R --mart-root M
 
+Each step has a mode of its own (``--scd-mode``, ``--weekly-mode``,
+``--program-mode``); ``--repair`` also recomputes older days and weeks whose
+input changed; ``--by-day`` says that the sales are stored in folders by sold
+day. Raw tables are Parquet unless ``--source name=format`` says otherwise,
+with reader options from ``--source-option name.key=value``.
+
 The inventory raw table is full-refreshed by version (a failed load keeps
 the previous version); all other raw tables are read as they are.
 """
@@ -45,28 +51,47 @@ def raw_table(spark: SparkSession, raw_root: str, name: str, fmt: str = "parquet
     return df.withColumns({c: F.col(c).cast("decimal(12,2)") for c in money})
 
 
-def raw_inputs(spark: SparkSession, raw_root: str) -> pl.RawInputs:
-    t = lambda n: raw_table(spark, raw_root, n)
+def raw_inputs(spark: SparkSession, raw_root: str, sources: dict[str, tuple[str, dict]] | None = None, by_day: bool = False) -> pl.RawInputs:
+    """``sources`` maps a table's name to its (format, reader options)."""
+    def t(name: str) -> DataFrame:
+        fmt, options = (sources or {}).get(name, ("parquet", {}))
+        return raw_table(spark, raw_root, name, fmt, **options)
     return pl.RawInputs(t("catalog_sales"), t("web_sales"), t("inventory"), t("date_dim"), t("customer"),
                         t("customer_address"), t("customer_demographics"), t("household_demographics"),
-                        t("income_band"))
+                        t("income_band"), by_day)
+
+
+def parse_sources(formats: list[str], options: list[str]) -> dict[str, tuple[str, dict]]:
+    """``name=format`` and ``name.key=value`` arguments; unknown tables are an error."""
+    out: dict[str, tuple[str, dict]] = {}
+    for arg in formats:
+        name, _, fmt = arg.partition("=")
+        out[name] = (fmt, {})
+    for arg in options:
+        path, _, value = arg.partition("=")
+        name, _, key = path.partition(".")
+        out.setdefault(name, ("parquet", {}))[1][key] = value
+    if unknown := set(out) - set(RAW_TABLES):
+        raise ValueError(f"unknown raw tables: {sorted(unknown)}")
+    return out
 
 
 def ingest_inventory(spark: SparkSession, raw_root: str, csv_path: str) -> dict:
     """S1 + S2: load the inventory file as the next version of the raw table;
-    rejected lines go to a parallel version of ``inventory_rejects``."""
+    rejected lines go to the same version of ``inventory_rejects``."""
     good, rejects = ingest.load_inventory(spark, csv_path)
-    path = sinks.write_version(good, f"{raw_root.rstrip('/')}/inventory")
-    rej = sinks.write_version(rejects, f"{raw_root.rstrip('/')}/inventory_rejects")
+    root = raw_root.rstrip("/")
+    rej, path = sinks.write_together([(rejects, f"{root}/inventory_rejects"), (good, f"{root}/inventory")], sinks.KEEP_VERSIONS)
     return {"inventory": path, "rejects": rej}
 
 
-def copy_dims(spark: SparkSession, raw_root: str, mart_root: str) -> dict:
+def copy_dims(spark: SparkSession, raw_root: str, mart_root: str, sources: dict[str, tuple[str, dict]] | None = None) -> dict:
     """The item, warehouse and date dimensions copied into the mart."""
     out = {}
     for name in ("item", "warehouse", "date_dim"):
         target = f"{mart_root.rstrip('/')}/analytics/{'date_dim' if name == 'date_dim' else name + '_dim'}"
-        out[name] = sinks.write_version(raw_table(spark, raw_root, name), target)
+        fmt, options = (sources or {}).get(name, ("parquet", {}))
+        out[name] = sinks.write_version(raw_table(spark, raw_root, name, fmt, **options), target, sinks.KEEP_VERSIONS)
     return out
 
 
@@ -80,8 +105,17 @@ def main(argv=None) -> None:
     ap.add_argument("--landing")
     ap.add_argument("--checkpoint")
     ap.add_argument("--as-of")
-    ap.add_argument("--mode", default="reference", choices=["reference", "strict", "documented"])
+    ap.add_argument("--mode", choices=["reference", "strict", "documented"],
+                    help="short for --scd-mode strict or --program-mode documented")
+    ap.add_argument("--scd-mode", choices=["reference", "strict"])
+    ap.add_argument("--weekly-mode", default="reference", choices=["reference", "strict"])
+    ap.add_argument("--program-mode", choices=["reference", "documented"])
+    ap.add_argument("--repair", action="store_true")
+    ap.add_argument("--by-day", action="store_true")
+    ap.add_argument("--source", action="append", default=[], metavar="NAME=FORMAT")
+    ap.add_argument("--source-option", action="append", default=[], metavar="NAME.KEY=VALUE")
     a = ap.parse_args(argv)
+    sources = parse_sources(a.source, a.source_option)
     spark = SparkSession.builder.appName(f"retail_mart {a.job}").getOrCreate()
     if a.job == "ingest-inventory":
         res = ingest_inventory(spark, a.raw_root, a.csv)
@@ -92,21 +126,21 @@ def main(argv=None) -> None:
         load_landed_inventory(spark, a.landing, a.raw_root, ck)
         res = {"inventory": sinks.current_path(spark, f"{a.raw_root.rstrip('/')}/inventory")}
     elif a.job == "copy-dims":
-        res = copy_dims(spark, a.raw_root, a.mart_root)
+        res = copy_dims(spark, a.raw_root, a.mart_root, sources)
     else:
-        raw, paths = raw_inputs(spark, a.raw_root), pl.MartPaths(a.mart_root)
-        scd_mode = "strict" if a.mode == "strict" else "reference"
-        prog_mode = "documented" if a.mode == "documented" else "reference"
+        raw, paths = raw_inputs(spark, a.raw_root, sources, a.by_day), pl.MartPaths(a.mart_root)
+        scd_mode = a.scd_mode or ("strict" if a.mode == "strict" else "reference")
+        prog_mode = a.program_mode or ("documented" if a.mode == "documented" else "reference")
         if a.job == "daily":
-            res = {"daily_watermark": pl.run_daily(spark, raw, paths)}
+            res = {"daily_watermark": pl.run_daily(spark, raw, paths, a.repair)}
         elif a.job == "customer":
             res = {"snapshot": pl.run_customer(spark, raw, paths, a.as_of, scd_mode)}
         elif a.job == "weekly":
-            res = {"weekly_watermark": pl.run_weekly(spark, raw, paths)}
+            res = {"weekly_watermark": pl.run_weekly(spark, raw, paths, a.weekly_mode, a.repair)}
         elif a.job == "monthly":
             res = {"monthly_watermark": pl.run_monthly(spark, raw, paths, prog_mode)}
         else:
-            res = pl.run_pipeline(spark, raw, a.mart_root, a.as_of, scd_mode, prog_mode)
+            res = pl.run_pipeline(spark, raw, a.mart_root, a.as_of, scd_mode, prog_mode, a.weekly_mode, a.repair)
     print(json.dumps(res, default=str))
 
 

@@ -2,16 +2,21 @@
 
 One call performs what the reference's four scheduled tasks do, in the
 order their schedules imply. Every step reads stored tables (so lineage is
-cut at each table) and writes with the sinks of ``sources.sinks``:
+cut at each table) and writes with the sinks of ``sources``:
 
-* daily aggregate, partitioned by sold_date_sk: last day replaced;
+* daily aggregate, kept by sold_date_sk: last day replaced;
 * customer snapshot and customer dimension: new version per run;
-* weekly fact, partitioned by sold_wk_sk: last week replaced;
-* monthly programme, partitioned by (c_year, c_month): target month replaced.
+* weekly fact, kept by sold_wk_sk: last week replaced;
+* customer-month state (``streaming.customer_months``): changed months replaced;
+* monthly programme, kept by (c_year, c_month): target month replaced.
 
-Each step is a write of its own: a failure leaves earlier steps written and
-later ones at their previous state (see ``sources.sinks`` for what a single
-write guarantees); the next run recomputes from the stored watermarks.
+Each table changes in one step (``sources.periods``, ``sources.sinks``): a
+failure leaves earlier tables new and later ones old, and the next run
+recomputes from the stored periods.
+
+Beside the daily and the weekly fact stand the fingerprints of the input of
+each period. A scheduled run ignores late rows, as the reference does (Q13);
+``repair=True`` also recomputes every older period whose input changed.
 """
 
 from __future__ import annotations
@@ -19,6 +24,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from retail_mart.operators import customer_scd2 as scd
 from retail_mart.operators import daily_sales as ds
@@ -26,7 +32,10 @@ from retail_mart.operators import weekly_inventory as wi
 from retail_mart.operators import customer_program as cp
 from retail_mart.operators.common import check_calendar
 from retail_mart.sources import sinks
-from retail_mart.streaming import incremental as inc
+from retail_mart.sources.periods import PeriodTable
+from retail_mart.streaming import customer_months as cm
+from retail_mart.streaming import fingerprints as fp
+from retail_mart.streaming.watermark import target_period
 
 
 @dataclass
@@ -42,6 +51,7 @@ class RawInputs:
     customer_demographics: DataFrame
     household_demographics: DataFrame
     income_band: DataFrame
+    by_day: bool = False            # sales are stored in folders by sold day
 
 
 @dataclass
@@ -59,6 +69,10 @@ class MartPaths:
     def snapshot(self):
         return f"{self.root}/intermediate/customer_snapshot"
 
+    @property
+    def customer_months(self):
+        return f"{self.root}/intermediate/customer_months"
+
     @property
     def weekly(self):
         return f"{self.root}/analytics/weekly_sales_inventory"
@@ -72,31 +86,56 @@ class MartPaths:
         return f"{self.root}/analytics/customer_dim"
 
 
-def _empty_like(spark: SparkSession, df: DataFrame) -> DataFrame:
-    return spark.createDataFrame([], df.schema)
+def daily_table(spark, paths: MartPaths) -> PeriodTable:
+    return PeriodTable(spark, paths.daily, ["sold_date_sk"])
+
+
+def weekly_table(spark, paths: MartPaths) -> PeriodTable:
+    return PeriodTable(spark, paths.weekly, ["sold_wk_sk"])
+
+
+def monthly_table(spark, paths: MartPaths) -> PeriodTable:
+    return PeriodTable(spark, paths.monthly, cm.MONTH)
+
+
+def months_table(spark, paths: MartPaths) -> PeriodTable:
+    return PeriodTable(spark, paths.customer_months, cm.MONTH)
 
 
 def read_daily(spark, paths: MartPaths):
-    return sinks.read_partitioned(spark, paths.daily, {"sold_date_sk": "bigint"})
+    return daily_table(spark, paths).read()
 
 
 def read_weekly(spark, paths: MartPaths):
-    return sinks.read_partitioned(spark, paths.weekly, {"sold_wk_sk": "bigint"})
+    return weekly_table(spark, paths).read()
 
 
 def read_monthly(spark, paths: MartPaths):
-    return sinks.read_partitioned(spark, paths.monthly, {"c_year": "bigint", "c_month": "bigint"})
+    return monthly_table(spark, paths).read()
 
 
-def run_daily(spark: SparkSession, raw: RawInputs, paths: MartPaths) -> int:
+def _kept(notes: dict, name: str, drop) -> dict[str, str]:
+    return {d: m for d, m in notes.get(name, {}).items() if not drop(int(d))}
+
+
+def run_daily(spark: SparkSession, raw: RawInputs, paths: MartPaths, repair: bool = False) -> int:
+    """P4; with ``repair`` also every earlier day whose sales changed (Q13)."""
     check_calendar(raw.date_dim)
-    shape = ds.daily_sales(raw.catalog_sales, raw.web_sales, raw.date_dim)
-    existing = read_daily(spark, paths)
-    existing = existing.select(*shape.columns) if existing is not None else _empty_like(spark, shape)
-    step = inc.daily_incremental(existing, raw.catalog_sales, raw.web_sales, raw.date_dim)
-    sinks.replace_partitions(step.fresh, paths.daily, ["sold_date_sk"], step.deleted,
-                             spread_cols=["item_sk", "warehouse_sk"])
-    return step.watermark
+    table = daily_table(spark, paths)
+    base = table.state()
+    wm = table.watermark(base)
+    cs, ws = raw.catalog_sales, raw.web_sales
+    now = fp.marks(fp.of_rows(ds.unified_sales(cs, ws, 0 if repair else wm), "sold_date_sk"))
+    before = base.notes.get("days", {})
+    late = [d for d in fp.changed(now, before) if d < wm] if repair else []
+    if late:
+        spans = fp.ranges(set(late), [*now, *map(int, before)])
+        cs = cs.filter(fp.within("cs_sold_date_sk", spans) | (F.col("cs_sold_date_sk") >= F.lit(wm)))
+        ws = ws.filter(fp.within("ws_sold_date_sk", spans) | (F.col("ws_sold_date_sk") >= F.lit(wm)))
+    fresh = ds.daily_sales(cs, ws, raw.date_dim, since_sk=min(late, default=wm))
+    notes = {"days": _kept(base.notes, "days", lambda d: repair or d >= wm) | {str(d): m for d, m in now.items()}}
+    table.replace(fresh, [{"sold_date_sk": d} for d in [*late, wm]], ["item_sk", "warehouse_sk"], notes, base)
+    return wm
 
 
 def run_customer(spark: SparkSession, raw: RawInputs, paths: MartPaths, as_of: str,
@@ -104,54 +143,86 @@ def run_customer(spark: SparkSession, raw: RawInputs, paths: MartPaths, as_of: s
     # source-key uniqueness is enforced inside the merge pass (job fails)
     current = sinks.read_current(spark, paths.snapshot)
     current = current if current is not None else scd.empty_snapshot(spark)
-    snap_path = sinks.write_version(scd.scd2_apply(current, raw.customer, as_of, mode), paths.snapshot)
+    snap_path = sinks.write_version(scd.scd2_apply(current, raw.customer, as_of, mode), paths.snapshot, sinks.KEEP_VERSIONS)
     snap = spark.read.parquet(snap_path)
     dim = scd.customer_dim(snap, raw.customer_address, raw.customer_demographics,
                            raw.household_demographics, raw.income_band)
-    sinks.write_version(dim, paths.customer_dim)
+    sinks.write_version(dim, paths.customer_dim, sinks.KEEP_VERSIONS)
     return snap_path
 
 
-def _daily(spark: SparkSession, raw: RawInputs, paths: MartPaths):
-    """The stored daily table; missing or empty: no rows."""
-    daily = read_daily(spark, paths)
-    return daily if daily is not None else _empty_like(spark, ds.daily_sales(raw.catalog_sales, raw.web_sales, raw.date_dim))
+def _stored_daily(spark: SparkSession, raw: RawInputs, table: PeriodTable, state) -> DataFrame:
+    """The stored daily table; missing: no rows."""
+    daily = table.read(state)
+    return daily if daily is not None else spark.createDataFrame([], ds.daily_sales(raw.catalog_sales, raw.web_sales, raw.date_dim).schema)
 
 
-def run_weekly(spark: SparkSession, raw: RawInputs, paths: MartPaths) -> int:
+def run_weekly(spark: SparkSession, raw: RawInputs, paths: MartPaths, mode: str = "reference", repair: bool = False) -> int:
+    """P9; with ``repair`` also every earlier week one of whose days was
+    rewritten in the daily table or restated in the inventory (Q13). A day
+    of the daily table is known to be unchanged by the run that wrote it."""
     check_calendar(raw.date_dim)
-    daily = _daily(spark, raw, paths)
-    shape = wi.weekly_sales_inventory(daily, raw.inventory, raw.date_dim)
-    existing = read_weekly(spark, paths)
-    existing = existing.select(*shape.columns) if existing is not None else _empty_like(spark, shape)
-    step = inc.weekly_incremental(existing, daily, raw.inventory, raw.date_dim)
-    sinks.replace_partitions(step.fresh, paths.weekly, ["sold_wk_sk"], step.deleted,
-                             spread_cols=["item_sk", "warehouse_sk"])
-    return step.watermark
+    table, source = weekly_table(spark, paths), daily_table(spark, paths)
+    base, days = table.state(), source.state()
+    wm = table.watermark(base)
+    daily = _stored_daily(spark, raw, source, days)
+    bound = wi.week_bound(raw.date_dim, wm) if wm else 0
+    written = {int(v): r for p, r in days.periods.items() if (v := source.values(p)[0]) is not None}
+    stock = fp.marks(fp.of_rows(raw.inventory if repair else raw.inventory.filter(F.col("inv_date_sk") >= F.lit(bound)), "inv_date_sk"))
+    fresh = wi.weekly_sales_inventory(daily, raw.inventory, raw.date_dim, since_wk_sk=wm, mode=mode)
+    deleted = [wm]
+    if repair and wm:
+        old = [d for now, name in ((written, "daily"), (stock, "inventory")) for d in fp.changed(now, base.notes.get(name, {}))]
+        weeks = _weeks_of(raw.date_dim, old, wm)
+        if weeks:
+            spans = fp.ranges({d for _, members in weeks for d in members}, [r[0] for r in raw.date_dim.select("d_date_sk").collect()])
+            again = wi.weekly_sales_inventory(daily.filter(fp.within("sold_date_sk", spans)),
+                                              raw.inventory.filter(fp.within("inv_date_sk", spans)), raw.date_dim)
+            fresh = fresh.unionByName(again)
+            deleted += [start for start, _ in weeks]
+    read = lambda d: repair or d >= bound
+    notes = {"daily": _kept(base.notes, "daily", read) | {str(d): r for d, r in written.items() if read(d)},
+             "inventory": _kept(base.notes, "inventory", read) | {str(d): m for d, m in stock.items()}}
+    table.replace(fresh, [{"sold_wk_sk": w} for w in deleted], ["item_sk", "warehouse_sk"], notes, base)
+    return wm
+
+
+def _weeks_of(date_dim: DataFrame, days: list[int], before: int) -> list[tuple[int, list[int]]]:
+    """(day 0, all days) of the weeks that hold one of ``days`` and begin before ``before``."""
+    wanted, weeks = set(days), {}
+    for r in date_dim.select("d_date_sk", "wk_num", "yr_num", "day_of_wk_num").collect():  # the calendar's days
+        weeks.setdefault((r.yr_num, r.wk_num), []).append((r.d_date_sk, r.day_of_wk_num))
+    out = []
+    for members in weeks.values():
+        start = next((d for d, k in members if k == 0), None)
+        if start is not None and start < before and any(d in wanted for d, _ in members):
+            out.append((start, [d for d, _ in members]))
+    return out
 
 
 def run_monthly(spark: SparkSession, raw: RawInputs, paths: MartPaths, mode: str = "reference") -> int:
+    """The month after the daily table's watermark, from the stored customer months."""
     check_calendar(raw.date_dim)
-    daily = _daily(spark, raw, paths)
+    wm = daily_table(spark, paths).watermark()
+    yr, mth = target_period(raw.date_dim, wm)
+    months = months_table(spark, paths)
+    cm.refresh(months, raw.catalog_sales, raw.web_sales, raw.date_dim, raw.by_day)
     snap = sinks.read_current(spark, paths.snapshot)
     snap = snap if snap is not None else scd.empty_snapshot(spark)
-    shape = cp.monthly_customer_program(raw.catalog_sales, raw.web_sales, raw.date_dim, snap, 0, 0, mode)
-    existing = read_monthly(spark, paths)
-    existing = existing.select(*shape.columns) if existing is not None else _empty_like(spark, shape)
-    step = inc.monthly_incremental(existing, daily, raw.catalog_sales, raw.web_sales, raw.date_dim, snap, mode)
-    sinks.replace_partitions(step.fresh, paths.monthly, ["c_year", "c_month"], step.deleted,
-                             spread_cols=["customer_sk"])
-    return step.watermark
+    fresh = cp.program_of_months(months.read(), snap, yr, mth, mode)
+    monthly_table(spark, paths).replace(fresh, [{"c_year": yr, "c_month": mth}], ["customer_sk"])
+    return wm
 
 
 def run_pipeline(spark: SparkSession, raw: RawInputs, root: str, as_of: str,
-                 scd_mode: str = "reference", program_mode: str = "reference") -> dict:
+                 scd_mode: str = "reference", program_mode: str = "reference",
+                 weekly_mode: str = "reference", repair: bool = False) -> dict:
     """One scheduled run over ``raw`` as delivered on ``as_of``; modes are checked before the first write."""
-    if scd_mode not in ("reference", "strict") or program_mode not in ("reference", "documented"):
-        raise ValueError(f"unknown modes {scd_mode!r}, {program_mode!r}")
+    if scd_mode not in ("reference", "strict") or program_mode not in ("reference", "documented") or weekly_mode not in ("reference", "strict"):
+        raise ValueError(f"unknown modes {scd_mode!r}, {program_mode!r}, {weekly_mode!r}")
     paths = MartPaths(root)
-    out = {"daily_watermark": run_daily(spark, raw, paths)}
+    out = {"daily_watermark": run_daily(spark, raw, paths, repair)}
     out["snapshot"] = run_customer(spark, raw, paths, as_of, scd_mode)
-    out["weekly_watermark"] = run_weekly(spark, raw, paths)
+    out["weekly_watermark"] = run_weekly(spark, raw, paths, weekly_mode, repair)
     out["monthly_watermark"] = run_monthly(spark, raw, paths, program_mode)
     return out

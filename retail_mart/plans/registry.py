@@ -23,6 +23,8 @@ from retail_mart.plans import pipeline as pl
 from retail_mart.session import checkpointed, new_run_dir
 from retail_mart.sources import ingest, sinks
 from retail_mart.sources.fixtures import CUSTOMER_BATCH_DATES, RawTables
+from retail_mart.sources.periods import PeriodTable
+from retail_mart.streaming import customer_months as cm
 from retail_mart.streaming import incremental as inc
 from retail_mart.streaming.watermark import (
     period_watermark, target_period, target_period_frame, watermark_frame,
@@ -339,6 +341,74 @@ def q_mart_runs_monthly(spark, sf_dir):
     return for_report(pl.read_monthly(spark, paths).select(*cp.PROGRAM_COLUMNS))
 
 
+@register("stored_daily_watermark")
+def q_stored_daily_watermark(spark, sf_dir):
+    """P1 as the scheduled tasks take it: from the stored daily table's periods, without reading rows."""
+    wm = pl.daily_table(spark, mart_runs(spark, sf_dir, "daily")).watermark()
+    return spark.range(1).select(F.lit(wm).cast("bigint").alias("last_sold_date_sk"))
+
+
+def early_inputs(r: RawTables) -> pl.RawInputs:
+    """The raw layer before half of the sales span is over, when some sales
+    have yet to arrive and some stock counts will be restated."""
+    full = raw_inputs(r, 1, split_day(r))
+    n = F.col("inv_quantity_on_hand")
+    stock = full.inventory.withColumn("inv_quantity_on_hand", F.when(F.col("inv_item_sk") % 5 == 0, n + 3).otherwise(n).cast("int"))
+    return pl.RawInputs(full.catalog_sales.filter(F.col("cs_item_sk") % 7 != 3), full.web_sales.filter(F.col("ws_item_sk") % 7 != 4),
+                        stock, *[getattr(full, f) for f in list(pl.RawInputs.__dataclass_fields__)[3:]])
+
+
+def repaired_runs(spark, sf_dir, *steps: str) -> pl.MartPaths:
+    """An early run, a scheduled run and a repairing run of the named steps."""
+    r, paths = raw(spark, sf_dir), pl.MartPaths(new_run_dir(spark, "mart"))
+    for inputs, repair in ((early_inputs(r), False), (raw_inputs(r, 1), False), (raw_inputs(r, 1), True)):
+        for step in steps:
+            getattr(pl, f"run_{step}")(spark, inputs, paths, repair=repair)
+    return paths
+
+
+@register("mart_runs_repaired_daily")
+def q_mart_runs_repaired_daily(spark, sf_dir):
+    """Late sales reach the stored daily table by a repairing run."""
+    return for_report(pl.read_daily(spark, repaired_runs(spark, sf_dir, "daily")).select(*ds.DAILY_COLUMNS))
+
+
+@register("mart_runs_repaired_weekly")
+def q_mart_runs_repaired_weekly(spark, sf_dir):
+    """Late sales and restated stock reach the stored weekly fact by a repairing run."""
+    return for_report(pl.read_weekly(spark, repaired_runs(spark, sf_dir, "daily", "weekly")).select(*wi.WEEKLY_COLUMNS))
+
+
+def customer_months_table(spark, sf_dir) -> tuple[RawTables, PeriodTable]:
+    """The stored customer months after an early run and one with all sales."""
+    r = raw(spark, sf_dir)
+    table = pl.months_table(spark, pl.MartPaths(new_run_dir(spark, "mart")))
+    for x in (early_inputs(r), raw_inputs(r, 1)):
+        cm.refresh(table, x.catalog_sales, x.web_sales, x.date_dim)
+    return r, table
+
+
+@register("monthly_customer_metrics_from_state")
+def q_monthly_customer_metrics_from_state(spark, sf_dir):
+    return for_report(cp.metrics_of_months(customer_months_table(spark, sf_dir)[1].read()))
+
+
+def program_from_state(spark, sf_dir, mode: str = "reference"):
+    r, table = customer_months_table(spark, sf_dir)
+    yr, mth = target_period(r.date_dim(), period_watermark(ds.unified_sales(r.catalog_sales(), r.web_sales()), "sold_date_sk"))
+    return cp.program_of_months(table.read(), snapshot_after(r), yr, mth, mode)
+
+
+@register("monthly_customer_program_from_state")
+def q_monthly_customer_program_from_state(spark, sf_dir):
+    return for_report(program_from_state(spark, sf_dir))
+
+
+@register("monthly_customer_program_documented_from_state")
+def q_monthly_customer_program_documented_from_state(spark, sf_dir):
+    return for_report(program_from_state(spark, sf_dir, "documented"))
+
+
 # --------------------------------------------------------------- profiling
 
 LOOKUP_DAY = "1998-01-01"

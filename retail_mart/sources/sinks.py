@@ -1,129 +1,92 @@
-"""Table writes: versioned full refresh (S2, S7) and period replacement.
-
-* Spark must never overwrite a path it is reading (the job fails and the
-  input is gone), so full refreshes write a new version directory and
-  readers take the newest *complete* one (it has the committer's _SUCCESS
-  marker). A failed load leaves the previous version current (quirk Q17).
-* Delete-then-append of the last period is one dynamic partition
-  overwrite: only the partitions present in the new slice are replaced, each
-  by a rename at job commit. The watermark partition is dropped in a second
-  step when the recomputed slice had no rows for it. Neither is one atomic
-  step; a run that breaks off in between is healed by running it again.
+"""Table writes by version: full refresh.
+
+Spark must never overwrite a path it is reading (the job fails and the input
+is gone), so a full refresh writes a new version folder and readers take the
+newest *complete* one (it has the committer's _SUCCESS marker). A failed load
+leaves the previous version current (quirk Q17). Several tables loaded
+together share one number, and one of them carries the marker of all.
+
+Period replacement (S5) is in ``sources.periods``.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-_VERSION = re.compile(r"^v=(\d+)$")
-
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+from retail_mart.sources import files
 
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
+# Versions kept by the scheduled jobs.
+KEEP_VERSIONS = 7
+_VERSION = re.compile(r"^v=(\d+)$")
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
+def _at(root: str, n: int) -> str:
+    return f"{root.rstrip('/')}/v={n:06d}"
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Complete versions under ``root`` (ascending)."""
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        m = _VERSION.match(st.getPath().getName())
-        if m and st.isDirectory() and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            out.append(int(m.group(1)))
-    return sorted(out)
+def versions(spark: SparkSession, root: str, marker: str | None = None) -> list[int]:
+    """Complete versions under ``root`` (ascending): those with the _SUCCESS
+    marker, which is the one of the table at ``marker`` if the two are
+    loaded together."""
+    found = [int(m.group(1)) for n in files.names(spark, root) if (m := _VERSION.match(n))]
+    return [n for n in found if files.exists(spark, f"{_at(marker or root, n)}/_SUCCESS")]
 
 
-def current_path(spark: SparkSession, root: str) -> str | None:
-    vs = versions(spark, root)
-    return f"{root.rstrip('/')}/v={vs[-1]:06d}" if vs else None
+def current_path(spark: SparkSession, root: str, marker: str | None = None) -> str | None:
+    vs = versions(spark, root, marker)
+    return _at(root, vs[-1]) if vs else None
 
 
-def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    path = current_path(spark, root)
+def read_current(spark: SparkSession, root: str, marker: str | None = None) -> DataFrame | None:
+    path = current_path(spark, root, marker)
     return spark.read.parquet(path) if path else None
 
 
-def claim_version(spark: SparkSession, root: str) -> int:
+def claim_version(spark: SparkSession, root: str, batch: str | None = None) -> int:
     """The next version number nobody has claimed; the claim is a file that
-    one writer alone can create (on file systems with atomic creation)."""
+    one writer alone can create (on file systems with atomic creation). A
+    ``batch`` that has a claim gets its own number again."""
+    root = root.rstrip("/")
+    claims = [n for n in files.names(spark, root) if n.startswith("_claim-")]
+    if batch:
+        for name in reversed(claims):
+            if files.read_text(spark, f"{root}/{name}") == batch:
+                return int(name[7:])
     vs = versions(spark, root)
     n = (vs[-1] + 1) if vs else 1
-    while True:
-        fs, p = _fs(spark, f"{root.rstrip('/')}/_claim-{n:06d}")
-        if fs.createNewFile(p):
-            return n
+    while not files.create_new(spark, f"{root}/_claim-{n:06d}", batch or ""):
         n += 1
+    return n
+
+
+def write_version(df: DataFrame, root: str, keep: int | None = None, batch: str | None = None) -> str:
+    """Write ``df`` as the next version of the table at ``root``."""
+    return write_together([(df, root)], keep, batch)[0]
 
 
-def write_version(df: DataFrame, root: str, keep: int | None = None) -> str:
-    """Write ``df`` as the next version of the table at ``root``; with
-    ``keep``, drop all complete versions but the newest ``keep`` afterwards.
+def write_together(tables: list[tuple[DataFrame, str]], keep: int | None = None, batch: str | None = None) -> list[str]:
+    """Write several tables as one version; their paths. The last one is
+    written last and its marker makes all of them current (readers of the
+    others name it as ``marker``).
 
     A failed attempt keeps its number, so no writer touches another's files;
-    of two writers at once, the one with the larger number becomes current."""
-    spark = df.sparkSession
-    path = f"{root.rstrip('/')}/v={claim_version(spark, root):06d}"
-    delete(spark, path)  # a folder there has no claim, so no writer
-    df.write.mode("errorifexists").parquet(path)
+    of two writers at once, the one with the larger number becomes current.
+    A ``batch`` that is repeated takes its number again: what it left
+    unfinished is written anew, and once it is complete nothing is written.
+    With ``keep``, all complete versions but the newest ``keep`` are dropped
+    afterwards, with their claims."""
+    marker = tables[-1][1]
+    spark = tables[-1][0].sparkSession
+    n = claim_version(spark, marker, batch)
+    if n not in versions(spark, marker):
+        for df, root in tables:
+            files.delete(spark, _at(root, n))  # an unfinished attempt of this batch, or a folder without a claim
+            df.write.mode("errorifexists").parquet(_at(root, n))
     if keep:
-        for n in versions(spark, root)[:-keep]:
-            delete(spark, f"{root.rstrip('/')}/v={n:06d}")
-    return path
-
-
-def replace_partitions(fresh: DataFrame, path: str, partition_cols: list[str],
-                       deleted: dict | None = None, spread_cols: list[str] | None = None) -> None:
-    """Replace the partitions present in ``fresh``; additionally drop the
-    ``deleted`` partition (column -> value) if ``fresh`` does not rewrite it.
-
-    Rows are range-partitioned on the partition columns plus ``spread_cols``
-    before writing: each task then covers a contiguous run of partitions
-    (files ~ tasks + partitions, not tasks x partitions), and one large
-    partition is still split over several tasks by the spread columns.
-    """
-    spark = fresh.sparkSession
-    old = f"{path.rstrip('/')}/{'/'.join(f'{c}={v}' for c, v in deleted.items())}" if deleted else None
-    before = _files(spark, old) if old else set()
-    out = fresh.repartitionByRange(*partition_cols, *spread_cols) if spread_cols is not None else fresh
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).parquet(path))
-    # files of a rewritten partition carry the new job's name
-    if before and _files(spark, old) == before:
-        delete(spark, old)
-
-
-def _files(spark: SparkSession, path: str) -> set[str]:
-    fs, p = _fs(spark, path)
-    return {st.getPath().getName() for st in fs.listStatus(p)} if fs.exists(p) else set()
-
-
-def read_partitioned(spark: SparkSession, path: str, casts: dict[str, str]) -> DataFrame | None:
-    """Read a partitioned table, fixing the inferred partition column types."""
-    if not exists(spark, path):
-        return None
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        return None  # only runs without rows were written
-    return df.select(*[F.col(c).cast(casts[c]).alias(c) if c in casts else F.col(c) for c in df.columns])
+        for old in versions(spark, marker)[:-keep]:
+            for _, root in reversed(tables):
+                files.delete(spark, _at(root, old))
+            files.delete(spark, f"{marker.rstrip('/')}/_claim-{old:06d}")
+    return [_at(root, n) for _, root in tables]

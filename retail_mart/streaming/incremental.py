@@ -1,10 +1,11 @@
 """Incremental loads as pure functions: (existing target, raw) -> new state.
 
 Each returns the target's new contents and the replaced slice, so a sink can
-either rewrite the whole table or overwrite only the touched partitions
-(sources.sinks.replace_partitions). Equals a full recompute when no row
-arrives late; late rows (before the watermark) are ignored, as in the
-reference.
+either rewrite the whole table or replace only the touched periods
+(sources.periods). Equals a full recompute when no row arrives late; late
+rows (before the watermark) are ignored, as in the reference. A caller whose
+target is stored passes the watermark its periods give; else it is the
+maximum over the target.
 """
 
 from __future__ import annotations
@@ -35,19 +36,19 @@ def _delete(existing: DataFrame, cond) -> DataFrame:
 
 
 def daily_incremental(existing: DataFrame, catalog_sales: DataFrame, web_sales: DataFrame,
-                      date_dim: DataFrame) -> Increment:
+                      date_dim: DataFrame, watermark: int | None = None) -> Increment:
     """Delete the last loaded day, recompute from it on."""
-    wm = period_watermark(existing, "sold_date_sk")
+    wm = period_watermark(existing, "sold_date_sk") if watermark is None else watermark
     kept = _delete(existing, F.col("sold_date_sk") == F.lit(wm))
     fresh = ds.daily_sales(catalog_sales, web_sales, date_dim, since_sk=wm)
     return Increment(kept.unionByName(fresh), fresh, wm, kept, {"sold_date_sk": wm})
 
 
 def weekly_incremental(existing: DataFrame, daily: DataFrame, inventory: DataFrame,
-                       date_dim: DataFrame, mode: str = "reference") -> Increment:
+                       date_dim: DataFrame, mode: str = "reference", watermark: int | None = None) -> Increment:
     """Delete the last loaded week, recompute weeks whose first sale
     (mode="strict": whose day 0) is on/after its start."""
-    wm = period_watermark(existing, "sold_wk_sk")
+    wm = period_watermark(existing, "sold_wk_sk") if watermark is None else watermark
     kept = _delete(existing, F.col("sold_wk_sk") == F.lit(wm))
     fresh = wi.weekly_sales_inventory(daily, inventory, date_dim, since_wk_sk=wm, mode=mode)
     return Increment(kept.unionByName(fresh), fresh, wm, kept, {"sold_wk_sk": wm})

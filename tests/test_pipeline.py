@@ -74,10 +74,13 @@ def test_daily_sink_drops_emptied_watermark_day_and_heals(spark, raw_small):
     gone = inputs(r, last - 1, 1)
     pl.run_daily(spark, gone, paths)
     assert pl.read_daily(spark, paths).filter(F.col("sold_date_sk") == last).count() == 0
-    # crash after the delete (Q14): the partition of the new last day is missing;
-    # the next run falls back one day and rebuilds everything from there
-    prev = pl.read_daily(spark, paths).agg(F.max("sold_date_sk")).first()[0]
-    sinks.delete(spark, f"{paths.daily}/sold_date_sk={prev}")
+    # a last day that was deleted and not inserted (Q14): the next run falls
+    # back one day and rebuilds everything from there
+    table = pl.daily_table(spark, paths)
+    prev = table.watermark()
+    assert prev == pl.read_daily(spark, paths).agg(F.max("sold_date_sk")).first()[0] < last
+    table.replace(pl.read_daily(spark, paths).limit(0), [{"sold_date_sk": prev}])
+    assert table.watermark() < prev
     pl.run_daily(spark, full, paths)
     expect = ds.daily_sales(r.catalog_sales(), r.web_sales(), r.date_dim())
     got = pl.read_daily(spark, paths)

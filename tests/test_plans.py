@@ -92,12 +92,11 @@ def test_weekly_incremental_prunes_daily_partitions(spark, raw_small):
     partition filter: only the last weeks' partitions are read."""
     from retail_mart.operators import daily_sales as ds
     from retail_mart.operators import weekly_inventory as wi
-    from retail_mart.sources import sinks
+    from retail_mart.sources.periods import PeriodTable
     r = raw_small
-    path = tempfile.mkdtemp(prefix="daily-") + "/daily"
-    sinks.replace_partitions(ds.daily_sales(r.catalog_sales(), r.web_sales(), r.date_dim()), path,
-                             ["sold_date_sk"], spread_cols=["item_sk"])
-    daily = sinks.read_partitioned(spark, path, {"sold_date_sk": "bigint"})
+    table = PeriodTable(spark, tempfile.mkdtemp(prefix="daily-") + "/daily", ["sold_date_sk"])
+    table.replace(ds.daily_sales(r.catalog_sales(), r.web_sales(), r.date_dim()), spread=["item_sk"])
+    daily = table.read()
     p = plan(wi.weekly_sales_inventory(daily, r.inventory(), r.date_dim(), since_wk_sk=2451900))
     scan = [ln for ln in p.split("\n") if "FileScan parquet" in ln and "daily" in ln][0]
     assert "PartitionFilters: [isnotnull(sold_date_sk" in scan and str(wi.week_bound(r.date_dim(), 2451900)) in scan
