@@ -73,6 +73,40 @@ def test_mixing_meets_brute_force_targets(spark, edge):
                 assert abs(taken[s] - target[s]) <= max(near * target[s], some[-1] / 2)
 
 
+def test_mixing_rates_are_tilted_and_meet_the_targets(spark):
+    """lambda solves the constraint over all documents; copies stay next to the rate."""
+    rnd = random.Random(11)
+    rows = [(i, " ".join(["w"] * int(rnd.lognormvariate(3, 1) + 1)), f"s{rnd.choice('aaabbc')}") for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = {r.source: r for r in mixing.plan(mixing._rows(frame, "doc_id", "text", "source").select("source", "size", "h")).collect()}
+    size = {i: len(t.split()) for i, t, _ in rows}
+    got = {r.doc_id: r for r in mixing.mix(frame).collect()}
+    for s, p in plan.items():
+        own = [i for i, _, src in rows if src == s]
+        assert p.mean == pytest.approx(sum(size[i] for i in own) / len(own))
+        rate = {i: 3.0 if p.lam is None else min(3.0, float(np.exp(p.lam * size[i] / p.mean))) for i in own}
+        assert sum(rate[i] * size[i] for i in own) == pytest.approx(p.target, rel=1e-6)
+        assert sum(got[i].copies not in (int(rate[i]), int(rate[i]) + 1) for i in own) <= 5
+        smallest = min(size.values())
+        assert abs(sum(got[i].taken for i in own) - p.target) <= smallest
+    assert len({round(p.lam, 6) for p in plan.values() if p.lam is not None}) > 1
+
+
+def test_a_blocking_document_does_not_keep_a_source_from_its_target(spark):
+    """One document of 20,000 words, 1,000 of 20 words: the error stays below the short ones' size."""
+    short, long_ = "w " * 20, "w " * 20_000
+    for sources in ("ab", "abc", "abcd"):
+        rows = [(1000 * k + i, long_ if i == 0 else short, s) for k, s in enumerate(sources) for i in range(1001)]
+        rows += [(10**6 + i, "w " * (3000 + 17 * i), "z") for i in range(40)]
+        taken, target = collections.Counter(), {}
+        for r in mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect():
+            taken[r.source] += r.taken
+            target[r.source] = r.target
+        for s in sources:
+            assert abs(taken[s] - target[s]) <= 20, (s, taken[s], target[s])
+        assert abs(taken["z"] - target["z"]) <= 3000
+
+
 def test_mixed_repeats_rows_as_planned(spark, edge, none):
     plan = collections.Counter()
     for r in mixing.mix(edge).collect():
