@@ -134,7 +134,7 @@ def main(argv=None) -> None:
         if a.job == "daily":
             res = {"daily_watermark": pl.run_daily(spark, raw, paths, a.repair)}
         elif a.job == "customer":
-            res = {"snapshot": pl.run_customer(spark, raw, paths, a.as_of, scd_mode)}
+            res = {"customer_buckets": pl.run_customer(spark, raw, paths, a.as_of, scd_mode)}
         elif a.job == "weekly":
             res = {"weekly_watermark": pl.run_weekly(spark, raw, paths, a.weekly_mode, a.repair)}
         elif a.job == "monthly":

@@ -5,12 +5,12 @@ order their schedules imply. Every step reads stored tables (so lineage is
 cut at each table) and writes with the sinks of ``sources``:
 
 * daily aggregate, kept by sold_date_sk: last day replaced;
-* customer snapshot and customer dimension: new version per run;
+* customer history and dimension (``streaming.customer_tables``): touched buckets replaced;
 * weekly fact, kept by sold_wk_sk: last week replaced;
 * customer-month state (``streaming.customer_months``): changed months replaced;
 * monthly programme, kept by (c_year, c_month): target month replaced.
 
-Each table changes in one step (``sources.periods``, ``sources.sinks``): a
+Each table changes in one step (``sources.periods``): a
 failure leaves earlier tables new and later ones old, and the next run
 recomputes from the stored periods.
 
@@ -26,14 +26,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_mart.operators import customer_scd2 as scd
 from retail_mart.operators import daily_sales as ds
 from retail_mart.operators import weekly_inventory as wi
 from retail_mart.operators import customer_program as cp
 from retail_mart.operators.common import check_calendar
-from retail_mart.sources import sinks
 from retail_mart.sources.periods import PeriodTable
 from retail_mart.streaming import customer_months as cm
+from retail_mart.streaming.customer_tables import CustomerDimension, CustomerHistory
 from retail_mart.streaming import fingerprints as fp
 from retail_mart.streaming.watermark import target_period
 
@@ -138,17 +137,31 @@ def run_daily(spark: SparkSession, raw: RawInputs, paths: MartPaths, repair: boo
     return wm
 
 
+def customer_history(spark, paths: MartPaths) -> CustomerHistory:
+    return CustomerHistory(spark, paths.snapshot)
+
+
+def customer_dimension(spark, paths: MartPaths) -> CustomerDimension:
+    return CustomerDimension(spark, paths.customer_dim)
+
+
+def read_snapshot(spark, paths: MartPaths):
+    return customer_history(spark, paths).read()
+
+
+def read_customer_dim(spark, paths: MartPaths):
+    return customer_dimension(spark, paths).read()
+
+
 def run_customer(spark: SparkSession, raw: RawInputs, paths: MartPaths, as_of: str,
-                 mode: str = "reference") -> str:
+                 mode: str = "reference") -> int:
+    """P17 and P18; the number of history buckets that were rewritten."""
     # source-key uniqueness is enforced inside the merge pass (job fails)
-    current = sinks.read_current(spark, paths.snapshot)
-    current = current if current is not None else scd.empty_snapshot(spark)
-    snap_path = sinks.write_version(scd.scd2_apply(current, raw.customer, as_of, mode), paths.snapshot, sinks.KEEP_VERSIONS)
-    snap = spark.read.parquet(snap_path)
-    dim = scd.customer_dim(snap, raw.customer_address, raw.customer_demographics,
-                           raw.household_demographics, raw.income_band)
-    sinks.write_version(dim, paths.customer_dim, sinks.KEEP_VERSIONS)
-    return snap_path
+    history = customer_history(spark, paths)
+    touched = history.merge(raw.customer, as_of, mode)
+    customer_dimension(spark, paths).refresh(history, raw.customer_address, raw.customer_demographics,
+                                             raw.household_demographics, raw.income_band)
+    return len(touched)
 
 
 def _stored_daily(spark: SparkSession, raw: RawInputs, table: PeriodTable, state) -> DataFrame:
@@ -207,9 +220,7 @@ def run_monthly(spark: SparkSession, raw: RawInputs, paths: MartPaths, mode: str
     yr, mth = target_period(raw.date_dim, wm)
     months = months_table(spark, paths)
     cm.refresh(months, raw.catalog_sales, raw.web_sales, raw.date_dim, raw.by_day)
-    snap = sinks.read_current(spark, paths.snapshot)
-    snap = snap if snap is not None else scd.empty_snapshot(spark)
-    fresh = cp.program_of_months(months.read(), snap, yr, mth, mode)
+    fresh = cp.program_of_months(months.read(), read_snapshot(spark, paths), yr, mth, mode)
     monthly_table(spark, paths).replace(fresh, [{"c_year": yr, "c_month": mth}], ["customer_sk"])
     return wm
 
@@ -222,7 +233,7 @@ def run_pipeline(spark: SparkSession, raw: RawInputs, root: str, as_of: str,
         raise ValueError(f"unknown modes {scd_mode!r}, {program_mode!r}, {weekly_mode!r}")
     paths = MartPaths(root)
     out = {"daily_watermark": run_daily(spark, raw, paths, repair)}
-    out["snapshot"] = run_customer(spark, raw, paths, as_of, scd_mode)
+    out["customer_buckets"] = run_customer(spark, raw, paths, as_of, scd_mode)
     out["weekly_watermark"] = run_weekly(spark, raw, paths, weekly_mode, repair)
     out["monthly_watermark"] = run_monthly(spark, raw, paths, program_mode)
     return out

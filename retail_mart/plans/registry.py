@@ -21,7 +21,7 @@ from retail_mart.operators import weekly_inventory as wi
 from retail_mart.operators.common import for_report
 from retail_mart.plans import pipeline as pl
 from retail_mart.session import checkpointed, new_run_dir
-from retail_mart.sources import ingest, sinks
+from retail_mart.sources import ingest
 from retail_mart.sources.fixtures import CUSTOMER_BATCH_DATES, RawTables
 from retail_mart.sources.periods import PeriodTable
 from retail_mart.streaming import customer_months as cm
@@ -331,7 +331,36 @@ def q_mart_runs_weekly(spark, sf_dir):
 @register("mart_runs_customer_dim")
 def q_mart_runs_customer_dim(spark, sf_dir):
     """Two runs of the customer task; the current version of the dimension."""
-    return for_report(sinks.read_current(spark, mart_runs(spark, sf_dir, "customer").customer_dim))
+    return for_report(pl.read_customer_dim(spark, mart_runs(spark, sf_dir, "customer")))
+
+
+def stored_history(spark, sf_dir, mode: str = "reference", batches: int = 3) -> tuple[RawTables, pl.MartPaths]:
+    """The history in buckets after the runs of all customer batches; the
+    dimension refreshed after each, from joined tables that still differ before the last."""
+    r, paths = raw(spark, sf_dir), pl.MartPaths(new_run_dir(spark, "mart"))
+    for b in range(1, batches + 1):
+        pl.customer_history(spark, paths).merge(r.customer(b), CUSTOMER_BATCH_DATES[b - 1], mode)
+        early = b < batches
+        edit = lambda df, col, key: df.withColumn(col, F.when(F.col(key) % 50 == 7, F.concat(F.lit("old "), col)).otherwise(F.col(col))) if early else df  # noqa: B023,E731
+        pl.customer_dimension(spark, paths).refresh(
+            pl.customer_history(spark, paths), edit(r.customer_address(), "ca_city", "ca_address_sk"),
+            edit(r.customer_demographics(), "cd_credit_rating", "cd_demo_sk"), r.household_demographics(), r.income_band())
+    return r, paths
+
+
+@register("customer_history_in_buckets")
+def q_customer_history_in_buckets(spark, sf_dir):
+    return for_report(pl.read_snapshot(spark, stored_history(spark, sf_dir)[1]))
+
+
+@register("customer_history_in_buckets_strict")
+def q_customer_history_in_buckets_strict(spark, sf_dir):
+    return for_report(pl.read_snapshot(spark, stored_history(spark, sf_dir, "strict")[1]))
+
+
+@register("customer_dim_by_delta")
+def q_customer_dim_by_delta(spark, sf_dir):
+    return for_report(pl.read_customer_dim(spark, stored_history(spark, sf_dir)[1]))
 
 
 @register("mart_runs_monthly")

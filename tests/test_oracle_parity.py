@@ -27,22 +27,19 @@ def test_entry_smoke(spark):
     assert "low_stock_flg_wk" in df.columns
 
 
-@pytest.mark.parametrize("key", KEYS)
-def test_matches_oracle(spark, con, key):
-    df = E.queries()[key](spark, SF_SMALL)
-    cols, expected = oracle_rows(con, E.oracle_sql()[key])
-    assert sorted(df.columns) == sorted(cols)
-    assert frame_rows(df) == expected
-
-
 SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
                  "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 
 
 @pytest.mark.parametrize("key", KEYS)
-def test_column_types_match_oracle(spark, con, key):
+def test_matches_oracle(spark, con, key):
+    """Values, column names and column types."""
     df = E.queries()[key](spark, SF_SMALL)
+    sql = E.oracle_sql()[key]
+    cols, expected = oracle_rows(con, sql)
+    assert sorted(df.columns) == sorted(cols)
     got = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
            for f in df.schema.fields}
-    rel = con.sql(E.oracle_sql()[key])
+    rel = con.sql(sql)
     assert got == {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert frame_rows(df) == expected
