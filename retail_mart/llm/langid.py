@@ -13,9 +13,12 @@ wins; ties go to the first name.
 Since statistics are frozen, the escape chains are folded once into tables
 indexed by (context node, byte), and a whole batch is scored by array look-ups.
 
-Training rows: at most DOCS_PER_LANG rows of each language, those with the
-smallest hash of their text, texts of at most TRAIN_CHARS characters only;
-at most MAX_LANGS languages (else an error).
+Training rows: whole texts of each language in the order of their hashes,
+until DOCS_PER_LANG texts or LANG_CHARS characters are reached, one text at
+least. Languages are all names in the rows to learn from; trees are built and
+scored for LANGS_AT_ONCE of them at a time, each group a pass over the rows
+that keeps the best language so far, so their number has no limit and a
+task holds the trees of one group.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0;
 rows without a language are not learned from; with nothing to learn from all
@@ -37,8 +40,10 @@ from retail_mart.llm.common import free_name
 
 ORDER = 3
 DOCS_PER_LANG = 400
-TRAIN_CHARS = 20_000
-MAX_LANGS = 64
+LANG_CHARS = 2_000_000
+LANGS_AT_ONCE = 16
+# Leading bits of a hash by which texts are counted before they are ranked.
+PREFIX_BITS = 12
 # Text bytes scored at a time; a longer text is scored in pieces that overlap by the context length.
 CHUNK = 1 << 20
 UNKNOWN = "und"
@@ -121,54 +126,81 @@ class PPM:
             # a piece's bytes are those after its lead of ORDER bytes
             np.add.at(out[:, k], who, run[ends - ORDER] - run[starts])
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """Language and score: the winner's share of 2^-bits over the languages."""
+    def best(self, texts: list[str | None]) -> tuple[list[str | None], list[float], list[float]]:
+        """Language, its bits, and the sum over the languages of 2^(its bits - bits); None without a letter."""
         known = [i for i, t in enumerate(texts) if t and _LETTER.search(t)] if self.langs else []
-        lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        lang, least, total = [None] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
         bits = self.bits([texts[i].lower().encode("utf-8", "replace") for i in known])
         for i, row in zip(known, bits, strict=True):
             k = int(np.argmin(row))
-            lang[i], score[i] = self.langs[k], float(1 / np.exp2(np.maximum(row[k] - row, -1000)).sum())
-        return lang, score
-
-
-def fit(documents: DataFrame, learn: Column, text: str = "text", lang: str = "lang") -> PPM:
-    """Context trees from the rows where ``learn`` holds (bounded sample, see above)."""
-    d = documents.filter(learn & F.col(lang).isNotNull() & F.col(text).isNotNull()
-                         & (F.length(text) <= TRAIN_CHARS)).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    names = [r.lang for r in d.select("lang").distinct().limit(MAX_LANGS + 1).collect()]
-    if len(names) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
+            lang[i], least[i], total[i] = self.langs[k], float(row[k]), float(np.exp2(np.maximum(row[k] - row, -1000)).sum())
+        return lang, least, total
+
+
+def _training_rows(learnable: DataFrame) -> DataFrame:
+    """(lang, h): per language the largest hash of a text that is learned from.
+
+    Texts are counted by language and leading bits of the hash first, so only
+    those up to the bits that hold the last chosen text are ranked."""
+    d = learnable.select("lang", F.xxhash64("text").alias("h"), F.length("text").alias("n")).distinct()
+    bucket = F.shiftright("h", 64 - PREFIX_BITS)
+    b = d.groupBy("lang", bucket.alias("bucket")).agg(F.count("*").alias("docs"), F.sum("n").alias("chars"))
+    before = Window.partitionBy("lang").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    full = (F.coalesce(F.sum("docs").over(before), F.lit(0)) >= DOCS_PER_LANG) | (F.coalesce(F.sum("chars").over(before), F.lit(0)) >= LANG_CHARS)
+    until = b.withColumn("full", full).filter(~F.col("full")).groupBy(F.col("lang").alias("_lang")).agg(F.max("bucket").alias("until"))
+    near = d.join(until, F.col("lang") == F.col("_lang")).filter(bucket <= F.col("until"))
+    before = Window.partitionBy("lang").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+    return (near.withColumns({"docs": F.count("*").over(before), "chars": F.coalesce(F.sum("n").over(before), F.lit(0))})
+            .filter((F.col("docs") < DOCS_PER_LANG) & (F.col("chars") < LANG_CHARS)).groupBy("lang").agg(F.max("h").alias("h")))
+
+
+def fit(documents: DataFrame, learn: Column, text: str = "text", lang: str = "lang") -> list[PPM]:
+    """Context trees from the rows where ``learn`` holds (bounded sample, see above), in groups of languages by name."""
+    d = (documents.filter(learn & F.col(lang).isNotNull() & F.col(text).isNotNull())
+         .select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")))
     # only hashes are ranked and shuffled; the chosen rows' texts are read in a second pass
-    h = F.xxhash64("text")
-    w = Window.partitionBy("lang").orderBy("h")
-    cutoff = (d.select("lang", h.alias("h")).distinct().withColumn("rn", F.row_number().over(w))
-              .filter(F.col("rn") <= DOCS_PER_LANG).groupBy("lang").agg(F.max("h").alias("h")).collect())
-    take = F.lit(False)
-    for r in cutoff:
-        take = take | ((F.col("lang") == r.lang) & (h <= r.h))
-    rows = d.filter(take).distinct().collect()
-    samples: dict[str, list[bytes]] = {}
-    for r in sorted(rows, key=lambda r: (r.lang, r.text)):
-        samples.setdefault(r.lang, []).append(r.text.lower().encode("utf-8", "replace"))
-    return PPM(samples)
-
-
-def predict(documents: DataFrame, model: PPM, text: str = "text", lang_pred: str = "lang_pred",
+    ends = sorted(_training_rows(d).collect())
+    models = []
+    for at in range(0, len(ends), LANGS_AT_ONCE):
+        take = F.lit(False)
+        for r in ends[at:at + LANGS_AT_ONCE]:
+            take = take | ((F.col("lang") == r.lang) & (F.xxhash64("text") <= r.h))
+        samples: dict[str, list[bytes]] = {}
+        for r in sorted(d.filter(take).distinct().collect(), key=lambda r: (r.lang, r.text)):
+            samples.setdefault(r.lang, []).append(r.text.lower().encode("utf-8", "replace"))
+        models.append(PPM(samples))
+    return models
+
+
+def predict(documents: DataFrame, models: list[PPM], text: str = "text", lang_pred: str = "lang_pred",
             score: str = "score") -> DataFrame:
-    """``documents`` with the predicted language and its score; no shuffle."""
-    held = documents.sparkSession.sparkContext.broadcast(model)
-    at = documents.columns.index(text)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            lang, p = held.value.predict(b.column(at).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(p, pa.float64())],
-                                             [*b.schema.names, lang_pred, score])
-
-    schema = T.StructType([*documents.schema.fields, T.StructField(lang_pred, T.StringType()),
-                           T.StructField(score, T.DoubleType())])
-    return documents.mapInArrow(run, schema)
+    """``documents`` with the predicted language and its score, the language's
+    share of 2^-bits over all of them; no shuffle, one pass a group of languages."""
+    at, n = documents.columns.index(text), len(documents.columns)
+    state = [free_name(documents, x) for x in ("lang_so_far", "bits_so_far", "total_so_far")]
+
+    def passing(held, first: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                lang, bits, total = held.value.best(b.column(at).to_pylist())
+                if not first:
+                    for i, (was, x, s) in enumerate(zip(*(b.column(n + k).to_pylist() for k in range(3)), strict=True)):
+                        if was is not None and x <= bits[i]:
+                            lang[i], bits[i], total[i] = was, x, s + total[i] * 2.0 ** max(x - bits[i], -1000)
+                        elif was is not None:
+                            total[i] += s * 2.0 ** max(bits[i] - x, -1000)
+                yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(lang, pa.string()), pa.array(bits, pa.float64()), pa.array(total, pa.float64())],
+                                                 [*b.schema.names[:n], *state])
+        return run
+
+    fields = [T.StructField(x, t) for x, t in zip(state, (T.StringType(), T.DoubleType(), T.DoubleType()), strict=True)]
+    out = documents
+    for k, model in enumerate(models or [PPM({})]):
+        held = documents.sparkSession.sparkContext.broadcast(model)
+        out = out.mapInArrow(passing(held, k == 0), T.StructType([*documents.schema.fields, *fields]))
+    own = [F.col(f"`{c}`") for c in documents.columns]
+    return out.select(*own, F.coalesce(state[0], F.lit(UNKNOWN)).alias(lang_pred),
+                      F.when(F.col(state[0]).isNull(), F.lit(0.0)).otherwise(1 / F.col(state[2])).alias(score))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -176,8 +208,8 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def keep_identified(documents: DataFrame, model: PPM, text: str = "text", least: float = 0.5) -> DataFrame:
+def keep_identified(documents: DataFrame, models: list[PPM], text: str = "text", least: float = 0.5) -> DataFrame:
     """The rows whose language is found with a score of ``least`` or more, with their own columns."""
     p, s = free_name(documents, "lang_pred"), free_name(documents, "score")
-    out = predict(documents, model, text, p, s)
+    out = predict(documents, models, text, p, s)
     return out.filter((F.col(p) != UNKNOWN) & (F.col(s) >= least)).select(*documents.columns)

@@ -5,7 +5,7 @@ Each applies its operator to the whole of its tables and derives the asked colum
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retail_mart.llm import decontam, divergence, langid, lm_score, mixing, order_minhash, packing, quotes, secrets, tokens, topk, warc, word_runs
@@ -59,12 +59,16 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quoting_messages(conversations: DataFrame) -> DataFrame:
-    """Mail as it would be sent: each turn above the turn before it, quoted,
-    and the one before that, quoted twice; (msg_id, scope, ord, text)."""
-    one = conversations.groupBy("conv_id", "turn").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    """Mail as it would be sent: each row above the turn before it, quoted,
+    and the one before that, quoted twice; (msg_id, scope, ord, text). Rows
+    of one (conv_id, turn) are messages of their own; later turns quote the
+    first of them by text."""
+    place = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("text"))
+    one = conversations.select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text")).withColumn("place", place)
+    first = one.filter("place = 1")
 
     def before(k: int) -> DataFrame:
-        return one.select(F.col("conv_id").alias(f"c{k}"), (F.col("turn") + k).alias(f"t{k}"), F.col("text").alias(f"text{k}"))
+        return first.select(F.col("conv_id").alias(f"c{k}"), (F.col("turn") + k).alias(f"t{k}"), F.col("text").alias(f"text{k}"))
 
     def quoted(text: str, marks: str):
         return F.concat(F.lit("\n" + marks), F.regexp_replace(text, "\n", "\n" + marks))
@@ -75,7 +79,7 @@ def quoting_messages(conversations: DataFrame) -> DataFrame:
         j = j.join(b, j["conv_id"].eqNullSafe(b[f"c{k}"]) & (j["turn"] == b[f"t{k}"]), "left")
     body = F.concat("text", F.coalesce(F.concat(F.lit("\n\nOn an earlier day they wrote:"), quoted("text1", "> ")), F.lit("")),
                     F.coalesce(quoted("text2", ">> "), F.lit("")))
-    name = F.concat_ws("/", F.coalesce(F.col("conv_id").cast("string"), F.lit("-")), F.coalesce(F.col("turn").cast("string"), F.lit("-")))
+    name = F.concat_ws("/", F.coalesce(F.col("conv_id").cast("string"), F.lit("-")), F.coalesce(F.col("turn").cast("string"), F.lit("-")), F.col("place").cast("string"))
     return j.select(name.alias("msg_id"), F.col("conv_id").alias("scope"), F.col("turn").alias("ord"), body.alias("text"))
 
 
@@ -149,15 +153,19 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """,
     "op10_quotes": """
-WITH c AS (SELECT conv_id, turn, min(text) AS text FROM conversations GROUP BY conv_id, turn),
-p AS (
-  SELECT c.conv_id, c.turn, c.text, b.turn AS reply_to_turn
-  FROM c LEFT JOIN c b ON b.conv_id = c.conv_id AND b.turn = c.turn - 1
+WITH t AS (
+  SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS place FROM (SELECT DISTINCT conv_id, turn FROM conversations)
+), p AS (
+  SELECT t.*, coalesce(b.turn, d.turn) AS reply_to_turn
+  FROM t LEFT JOIN t b ON b.conv_id = t.conv_id AND b.turn = t.turn - 1
+  LEFT JOIN t d ON d.conv_id = t.conv_id AND d.turn = t.turn - 2
 ), r AS (
-  SELECT *, max(CASE WHEN reply_to_turn IS NULL THEN turn END)
-    OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS root_turn FROM p
+  SELECT *, max(CASE WHEN reply_to_turn IS NULL THEN turn END) OVER w AS root_turn,
+    place - max(CASE WHEN reply_to_turn IS NULL THEN place END) OVER w AS depth
+  FROM p WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)
 )
-SELECT conv_id, turn, reply_to_turn, root_turn, turn - root_turn AS depth, trim(text, e' \\n\\t\\r') AS text FROM r
+SELECT r.conv_id, r.turn, reply_to_turn, root_turn, depth, trim(c.text, e' \\n\\t\\r') AS text
+FROM conversations c JOIN r ON r.conv_id IS NOT DISTINCT FROM c.conv_id AND r.turn IS NOT DISTINCT FROM c.turn
 """,
     "op13_divergence": r"""
 WITH d AS (

@@ -349,6 +349,51 @@ def test_ppm_code_lengths_are_those_of_the_definition():
         assert got == pytest.approx([bits([b"abracadabra", b"abab"], text), bits([b"zyzzyva"], text)], rel=1e-5)
 
 
+def test_a_language_of_long_texts_only_is_learned(spark):
+    """Whole long texts, one at least, however short the budget."""
+    rnd = random.Random(8)
+    word = lambda letters: "".join(rnd.choice(letters) for _ in range(rnd.randint(3, 8)))
+    rows = [(i, " ".join(word("abcdefg") for _ in range(60)), "short") for i in range(60)]
+    rows += [(100 + i, " ".join(word("opqrstu") for _ in range(5000)), "long") for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.predict(frame, langid.fit(frame, ~langid.held_out())).filter(langid.held_out()).collect()
+    assert {r.lang for r in got} == {"short", "long"} and all(r.lang_pred == r.lang and r.score > 0.9 for r in got)
+
+
+def test_any_number_of_languages_in_groups(spark, monkeypatch):
+    rnd = random.Random(9)
+    rows = []
+    for k in range(70):
+        letters = [chr(0x4E00 + 3 * k + j) for j in range(3)]
+        rows += [(100 * k + i, "".join(rnd.choice(letters) for _ in range(80)), f"l{k:02d}") for i in range(8)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = langid.fit(frame, ~langid.held_out())
+    assert len(models) == 5 and sum(len(m.langs) for m in models) == 70
+    got = langid.predict(frame, models).collect()
+    assert sum(r.lang_pred == r.lang for r in got) >= 0.99 * len(got)
+    monkeypatch.setattr(langid, "LANGS_AT_ONCE", 100)
+    whole = {r.doc_id: r for r in langid.predict(frame, langid.fit(frame, ~langid.held_out())).collect()}
+    for r in got:
+        assert r.lang_pred == whole[r.doc_id].lang_pred and r.score == pytest.approx(whole[r.doc_id].score, rel=1e-4)
+
+
+def test_training_rows_are_the_first_hashes(spark, monkeypatch):
+    rows = [(i, f"text {i} " * (1 + i % 7), "en" if i % 3 else "de") for i in range(3000)] + [(9, "same", "fr")] * 50
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    hashed = {(r.lang, r.h, r.n) for r in frame.select("lang", F.xxhash64("text").alias("h"), F.length("text").alias("n")).collect()}
+    for docs_, chars in ((40, 10**9), (10**9, 900), (1, 1)):
+        monkeypatch.setattr(langid, "DOCS_PER_LANG", docs_)
+        monkeypatch.setattr(langid, "LANG_CHARS", chars)
+        want = {}
+        for lang in ("en", "de", "fr"):
+            k = n = 0
+            for _, h, length in sorted(x for x in hashed if x[0] == lang):
+                if k >= docs_ or n >= chars:
+                    break
+                want[lang], k, n = h, k + 1, n + length
+        assert {r.lang: r.h for r in langid._training_rows(frame).collect()} == want
+
+
 def test_language_on_edge_cases(spark, edge, none):
     model = langid.fit(edge, F.lit(True))
     got = langid.predict(edge, model)

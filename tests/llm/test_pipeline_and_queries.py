@@ -23,6 +23,18 @@ def test_matches_sql(spark, key):
     assert sorted(df.columns) == sorted(cols) and frame_rows(df) == want
 
 
+def test_repeated_turns_stay_rows(spark, tmp_path):
+    """Rows of one (conv_id, turn), equal or not, all come back."""
+    rows = [(1, 0, "user", "first words here"), (1, 1, "bot", "an answer given"), (1, 1, "bot", "an answer given"), (1, 1, "user", "another answer"),
+            (1, 2, "user", "what follows then"), (2, 0, "user", "alone in here"), (2, 2, "bot", "after a gap")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    df = queries.op10_quotes(spark, str(tmp_path))
+    cols, want = oracle_rows(con, queries.LLM_ORACLE["op10_quotes"])
+    assert len(want) == len(rows) and frame_rows(df) == want
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     kept = [{r.doc_id: r for r in docs.collect()}]
