@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retail_mart.operators.common import calendar
@@ -121,21 +121,80 @@ def _labels(spark, checks: list[FkCheck]) -> DataFrame:
                                        "key_column string")
 
 
+# Words of 64 keys up to which a dimension's keys are kept as one bitmap (8 MB, a span of 64 million keys).
+BITMAP_WORDS = 1 << 20
+
+
+def _key_bitmap(dim: DataFrame, pk: str, max_words: int) -> tuple[int, Column] | None:
+    """(first word, bitmap of the keys as an array of 64-bit words), the bitmap
+    being a scalar subquery; None if the keys span more than ``max_words`` words.
+
+    The words are built by a partial aggregate, so each task ships at most
+    one row a word."""
+    k = F.col(pk).cast("bigint")
+    words = (dim.filter(k.isNotNull()).groupBy(F.shiftright(k, 6).alias("w"))
+             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), k.bitwiseAND(63).cast("int"))).alias("bits")))
+    lo, hi = words.agg(F.min("w"), F.max("w")).first()
+    if lo is None:
+        return 0, F.array().cast("array<bigint>")
+    if hi - lo >= max_words:
+        return None
+    spark = dim.sparkSession
+    dense = spark.range(lo, hi + 1).join(words, F.col("id") == F.col("w"), "left").select("id", F.coalesce("bits", F.lit(0)).alias("bits"))
+    one = dense.agg(F.sort_array(F.collect_list(F.struct("id", "bits"))).alias("all"))
+    return lo, one.select(F.col("all.bits").alias("words")).scalar()
+
+
+def _held(k: Column, bitmap: tuple[int, Column]) -> Column:
+    """Whether the bitmap holds key ``k`` (null: no)."""
+    lo, words = bitmap
+    word = F.shiftright(k, 6) - lo
+    inside = (word >= 0) & (word < F.size(words))
+    return F.coalesce(F.when(inside, F.bit_get(F.get(words, word.cast("int")), k.bitwiseAND(63).cast("int")) == 1), F.lit(False))
+
+
+def _probed_counts(fact: DataFrame, mine: list[tuple[int, str, tuple[int, Column]]]) -> DataFrame:
+    """Coverage counts of one fact's checks against bitmaps: one scan, each task leaves one row."""
+    aggs = []
+    for i, fk, bitmap in mine:
+        k = F.col(fk).cast("bigint")
+        held = _held(k, bitmap)
+        aggs.append(F.struct(F.lit(i).alias("check_id"), F.count(F.lit(1)).alias("fact_rows"), F.count_if(k.isNull()).alias("null_fk"),
+                             F.count_if(held).alias("matched"), F.count_if(k.isNotNull() & ~held).alias("dangling")))
+    return fact.agg(F.array(*aggs).alias("c")).select(F.inline("c"))
+
+
 def fk_coverage(facts: dict[str, DataFrame], dims: dict[str, DataFrame],
-                checks: list[FkCheck] = FK_CHECKS) -> DataFrame:
+                checks: list[FkCheck] = FK_CHECKS, max_words: int = BITMAP_WORDS) -> DataFrame:
     """Per check -- fact rows, NULL keys, rows whose key is in the
-    dimension, and dangling rows (key present but not in the dimension)."""
-    keys = _key_counts(facts, checks)
-    joined = keys.join(_dim_keys(dims, checks), ["check_id", "k"], "left")
-    cov = joined.groupBy("check_id").agg(
-        F.sum("rows").alias("fact_rows"),
-        F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("rows"))), F.lit(0)).alias("null_fk"),
-        F.coalesce(F.sum(F.when(F.col("hit"), F.col("rows"))), F.lit(0)).alias("matched"),
-        F.coalesce(F.sum(F.when(F.col("k").isNotNull() & F.col("hit").isNull(), F.col("rows"))),
-                   F.lit(0)).alias("dangling"))
+    dimension, and dangling rows (key present but not in the dimension).
+
+    Dimensions whose keys span at most ``max_words`` words of 64 are probed as
+    bitmaps while the fact is scanned, without a shuffle of its keys; the
+    others by a join of the distinct keys."""
+    bitmaps = {x: _key_bitmap(dims[x[0]], x[1], max_words) for x in dict.fromkeys((c.dim, c.pk) for c in checks)}
+    wide = [i for i, c in enumerate(checks) if bitmaps[c.dim, c.pk] is None]
+    parts = []
+    for name in dict.fromkeys(c.fact for c in checks):
+        mine = [(i, c.fk, bitmaps[c.dim, c.pk]) for i, c in enumerate(checks) if c.fact == name and i not in wide]
+        if mine:
+            parts.append(_probed_counts(facts[name], mine))
+    if wide:
+        chosen = [checks[i] for i in wide]
+        joined = _key_counts(facts, chosen).join(_dim_keys(dims, chosen), ["check_id", "k"], "left")
+        parts.append(joined.groupBy("check_id").agg(
+            F.sum("rows").alias("fact_rows"),
+            F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("rows"))), F.lit(0)).alias("null_fk"),
+            F.coalesce(F.sum(F.when(F.col("hit"), F.col("rows"))), F.lit(0)).alias("matched"),
+            F.coalesce(F.sum(F.when(F.col("k").isNotNull() & F.col("hit").isNull(), F.col("rows"))),
+                       F.lit(0)).alias("dangling"))
+            .withColumn("check_id", F.element_at(F.array(*[F.lit(i) for i in wide]), F.col("check_id") + 1)))
+    cov = parts[0]
+    for part in parts[1:]:
+        cov = cov.unionByName(part)
     spark = next(iter(facts.values())).sparkSession
     # the 18-row label table is a literal of the check list
-    return (cov.join(F.broadcast(_labels(spark, checks)), "check_id")
+    return (cov.filter(F.col("fact_rows") > 0).join(F.broadcast(_labels(spark, checks)), "check_id")
             .select("fact", "fk_column", "dimension", "key_column", "fact_rows", "null_fk", "matched",
                     "dangling"))
 

@@ -28,10 +28,17 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(p)) if system.exists(p) else []
 
 
-def has_data(spark: SparkSession, path: str) -> bool:
-    """Whether a folder holds a data file that is not empty."""
-    system, p = fs(spark, path)
-    return any(s.isFile() and s.getLen() > 0 and not s.getPath().getName().startswith(("_", ".")) for s in system.listStatus(p))
+def below(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+    """Paths below ``folder`` that match ``pattern``, relative to it (one call, however many)."""
+    jvm = spark.sparkContext._jvm
+    system, p = fs(spark, f"{folder}/{pattern}")
+    found = system.globStatus(p)
+    if not found:
+        return []
+    paths = jvm.java.util.Arrays.toString(jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found))[1:-1]
+    # "<base>/x=1, <base>/x=2": the base stands before the first one
+    base, *rest = paths.split(f"/{folder.rpartition('/')[2]}/")
+    return [r.removesuffix(f", {base}") for r in rest]
 
 
 def read_text(spark: SparkSession, path: str) -> str:

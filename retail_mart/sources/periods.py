@@ -110,11 +110,8 @@ class PeriodTable:
         return run
 
     def _staged(self, run: str) -> list[str]:
-        """Periods that ``run`` wrote rows of."""
-        found = [""]
-        for c in self.columns:
-            found = [f"{p}/{n}" for p in found for n in files.names(self.spark, f"{self.root}/runs/run={run}{p}") if n.startswith(f"{c}=")]
-        return [p[1:] for p in found if files.has_data(self.spark, f"{self.root}/runs/run={run}{p}")]
+        """Periods that ``run`` wrote rows of (a writer makes no folder without rows)."""
+        return files.below(self.spark, f"{self.root}/runs/run={run}", "/".join(f"{c}=*" for c in self.columns))
 
     def _publish(self, state: State) -> None:
         draft = f"{self.root}/_manifest/.draft-{uuid.uuid4().hex}"
