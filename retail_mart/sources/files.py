@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
+from pyspark.sql.types import StructType
 
 
 def fs(spark: SparkSession, path: str):
@@ -28,17 +31,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(p)) if system.exists(p) else []
 
 
-def below(spark: SparkSession, folder: str, pattern: str) -> list[str]:
-    """Paths below ``folder`` that match ``pattern``, relative to it (one call, however many)."""
-    jvm = spark.sparkContext._jvm
-    system, p = fs(spark, f"{folder}/{pattern}")
-    found = system.globStatus(p)
-    if not found:
-        return []
-    paths = jvm.java.util.Arrays.toString(jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found))[1:-1]
-    # "<base>/x=1, <base>/x=2": the base stands before the first one
-    base, *rest = paths.split(f"/{folder.rpartition('/')[2]}/")
-    return [r.removesuffix(f", {base}") for r in rest]
+def data_folders(spark: SparkSession, folder: str, schema: StructType) -> list[str]:
+    """Folders below ``folder`` that hold data files of a table, relative to it (one call, however many)."""
+    table = spark.read.schema(schema).parquet(folder)
+    urls = spark.sparkContext._jvm.org.apache.hadoop.util.StringUtils.join("\n", table._jdf.inputFiles())
+    mark = f"/{folder.rstrip('/').rpartition('/')[2]}/"
+    return sorted({unquote(u).partition(mark)[2].rpartition("/")[0] for u in urls.split("\n") if u})
 
 
 def read_text(spark: SparkSession, path: str) -> str:

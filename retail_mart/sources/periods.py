@@ -109,9 +109,9 @@ class PeriodTable:
         out.write.mode("errorifexists").partitionBy(*self.columns).parquet(f"{self.root}/runs/run={run}")
         return run
 
-    def _staged(self, run: str) -> list[str]:
+    def _staged(self, run: str, schema: T.StructType) -> list[str]:
         """Periods that ``run`` wrote rows of (a writer makes no folder without rows)."""
-        return files.below(self.spark, f"{self.root}/runs/run={run}", "/".join(f"{c}=*" for c in self.columns))
+        return files.data_folders(self.spark, f"{self.root}/runs/run={run}", schema)
 
     def _publish(self, state: State) -> None:
         draft = f"{self.root}/_manifest/.draft-{uuid.uuid4().hex}"
@@ -139,7 +139,7 @@ class PeriodTable:
         all with one rename. ``base`` is the state the caller worked from."""
         base = base or self.state()
         run = self._stage(fresh, list(spread))
-        new = {p: run for p in self._staged(run)}
+        new = {p: run for p in self._staged(run, fresh.schema)}
         if not new:
             files.delete(self.spark, f"{self.root}/runs/run={run}")
         gone = {self.name(d) for d in deleted} | set(new)
