@@ -152,3 +152,34 @@ def test_a_scheduled_run_still_ignores_late_rows(spark, raw_small):
     first = frame_rows(pl.read_daily(spark, paths).filter(old))
     pl.run_daily(spark, full, paths)
     assert frame_rows(pl.read_daily(spark, paths).filter(old)) == first
+
+
+def test_rows_are_computed_once_for_a_write(spark):
+    """Dealing rows out by period takes no sample of them first."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        seen.add(1)
+        return x % 5
+
+    day = F.udf(count, "int").asNondeterministic()
+    fresh = spark.range(200).repartition(4).select(day("id").alias("day"), F.col("id").alias("item"))
+    t = PeriodTable(spark, tempfile.mkdtemp(prefix="periods-") + "/t", ["day"])
+    t.replace(fresh, spread=["item"])
+    assert seen.value == 200
+    assert frame_rows(t.read()) == frame_rows(spark.range(200).select((F.col("id") % 5).cast("int").alias("day"), F.col("id").alias("item")))
+
+
+def test_runs_read_a_stored_raw_layer(spark, raw_small):
+    """What the steps of several runs read is derived and joined once, with the same rows."""
+    from retail_mart.plans import registry
+    from retail_mart.sources.fixtures import RawTables
+    r = RawTables(spark, raw_small.sf_dir)
+    runs = [raw_inputs(r, b, c, ("daily", "weekly")) for b, c in ((1, registry.split_day(r)), (2, None))]
+    for x in runs:
+        for df in (x.catalog_sales, x.web_sales, x.inventory):
+            p = df._jdf.queryExecution().executedPlan().toString()
+            assert "Join" not in p and "Exchange" not in p and "lineitem" not in p
+    plain = raw_inputs(r, 2)
+    for name in ("catalog_sales", "web_sales", "inventory"):
+        assert frame_rows(getattr(runs[1], name)) == frame_rows(getattr(plain, name))
