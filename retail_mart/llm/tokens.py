@@ -43,6 +43,12 @@ _KIND = np.array([1 if b >= 128 or chr(b).isalpha() else 2 if 33 <= b < 127 and
                   for b in range(256)], np.int8)
 # Lead and further bytes of U+00C0 to U+017F, all of them letters but two.
 _LATIN = bytes([*range(128), 0xC3, 0xC4, 0xC5, *range(0x80, 0xC0)])
+# Bytes of words that are split no further, if they hold none of the three signs below.
+_LETTERS = bytes(b for b in _LATIN if b >= 128 or chr(b).isalpha())
+# The characters that stand for bytes in a byte-level vocabulary.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_CHARS = dict(zip([b for b in range(256) if b not in _SHOWN], range(256, 512), strict=False))
+_BYTE_LEVEL = [{"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
 # The normalizer and the splits of a tokenizer whose parts may be encoded apart.
 _NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -62,6 +68,24 @@ def spaced(raw: bytes) -> bytes:
     return np.insert(b, at, 32).tobytes() if len(at) else raw
 
 
+class Memo(dict):
+    """Parts and their ids in two generations; a part in neither is coded when it is looked up."""
+
+    def __init__(self, code):
+        super().__init__()
+        self.code, self.older = code, {}
+
+    def age(self) -> None:
+        if len(self) > MEMO:
+            self.older = dict(self)
+            self.clear()
+
+    def __missing__(self, part: bytes) -> bytes:
+        known = self.older.get(part)
+        self[part] = known = self.code(part) if known is None else known
+        return known
+
+
 class Encoder:
     """The tokenizer with a memory of encoded parts; ids as little-endian u32 bytes."""
 
@@ -75,8 +99,17 @@ class Encoder:
         self.in_parts = ((spec.get("normalizer") or {}).get("normalizers") == _NORMALIZERS
                          and splits[0].get("pattern") == {"Regex": _SPLIT} and splits[0].get("behavior") == "Removed" and splits[0].get("invert") is True)
         self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.words = self.in_parts and splits[1:] == _BYTE_LEVEL
+        self.memo = Memo(self.code)
+
+    def code(self, part: bytes) -> bytes:
+        """Ids of one part; a word of letters is one split and goes to the tokenizer's model as it is."""
+        if self.words and not part.translate(None, _LETTERS) and part and b"\xc3\x97" not in part and b"\xc3\xb7" not in part and b"\xc4\xb0" not in part:
+            word = part.decode() if part.isascii() else part.decode().lower().encode().decode("latin-1").translate(_BYTE_CHARS)
+            ids = [t.id for t in self.tokenizer.model.tokenize(word)]
+        else:
+            ids = self.tokenizer.encode(part.decode(), add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text: str | None) -> np.ndarray:
         """Ids of the whole text without special tokens, and the end id."""
@@ -84,19 +117,8 @@ class Encoder:
         if not self.in_parts or any(s in raw for s in self.special):
             own = np.array(self.tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
         else:
-            parts = spaced(raw.translate(_BLANKS)).split(b" ")
-            if len(self.memo) > MEMO:
-                self.memo, self.older = {}, self.memo
-            new = []
-            for p in set(parts).difference(self.memo):
-                if (known := self.older.get(p)) is None:
-                    new.append(p)
-                else:
-                    self.memo[p] = known
-            if new:
-                coded = self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
-                self.memo.update((p, struct.pack(f"<{len(e)}I", *e.ids)) for p, e in zip(new, coded, strict=True))
-            own = b"".join(map(self.memo.__getitem__, parts))
+            self.memo.age()
+            own = b"".join(map(self.memo.__getitem__, spaced(raw.translate(_BLANKS)).split(b" ")))
         return np.append(np.frombuffer(own, "<u4"), np.uint32(END_ID))
 
 

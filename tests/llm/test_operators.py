@@ -570,3 +570,19 @@ def test_quotes_link_repeated_replies_to_their_own_message(spark):
            quotes.conversations(spark.createDataFrame(rows, "msg_id string, scope string, ord long, text string")).collect()}
     assert got == {"1": (None, "1", 0), "2": ("1", "1", 1), "3": ("2", "1", 2), "4": ("3", "1", 3), "5": ("4", "1", 4), "6": ("2", "1", 2),
                    "7": ("4", "1", 4), "8": ("6", "1", 3), "9": ("4", "1", 4)}
+
+
+def test_words_of_letters_go_to_the_model(monkeypatch):
+    """New words skip the tokenizer's normalizer and splits; the ids are those of the whole text."""
+    from tokenizers import Tokenizer
+
+    from retail_mart.llm.queries import tokenizer_path
+    from retail_mart.llm.tokens import END_ID, Encoder
+    whole = Tokenizer.from_file(tokenizer_path())
+    letters = [chr(c) for c in [*range(0x41, 0x5B), *range(0xC0, 0x180)]]
+    texts = [f"{c} a{c}b {c}{c}" for c in letters] + ["Don't l'Été d'Œuvre x2y 3rd ½ ́e ﬁn Ω"]
+    e = Encoder(tokenizer_path())
+    assert [e.ids(t).tolist() for t in texts] == [[*whole.encode(t, add_special_tokens=False).ids, END_ID] for t in texts]
+    e = Encoder(tokenizer_path())
+    monkeypatch.setattr(e, "tokenizer", type("ModelOnly", (), {"model": e.tokenizer.model})())
+    assert len(e.ids("plain words naïve Ärger")) > 4
